@@ -82,7 +82,7 @@ def adj_kurt(n: Column, kurt_pop: Column, m2_sum: Column) -> Column:
 
 
 NUMERIC_STATS_SCHEMA = [
-    "column", "position", "n", "nulls", "mean", "std", "std_pop", "var", "min", "max",
+    "column", "position", "rows", "n", "nulls", "mean", "std", "std_pop", "var", "min", "max",
     "q01", "q25", "q50", "q75", "q99", "skew", "kurt", "sum_sq_dev",
 ]
 
@@ -96,6 +96,7 @@ def _num_struct(df: DataFrame, name: str, pos: int, probs, mode: QuantileMode, n
     fields = [
         F.lit(name).alias("column"),
         F.lit(pos).alias("position"),
+        F.count(F.lit(1)).alias("rows"),
         F.count(x).alias("n"),
         F.sum(F.when(x.isNull(), 1).otherwise(0)).cast("long").alias("nulls"),
         F.avg(x).alias("mean"),
@@ -131,7 +132,7 @@ def numeric_stats(
     spark = df.sparkSession
     if not columns:
         schema = ", ".join([f"`{b}` string" for b in by] + [
-            "column string", "position int", "n long", "nulls long", "mean double", "std double",
+            "column string", "position int", "rows long", "n long", "nulls long", "mean double", "std double",
             "std_pop double", "var double", "min double", "max double", "q01 double", "q25 double",
             "q50 double", "q75 double", "q99 double", "skew double", "kurt double", "sum_sq_dev double"])
         return spark.createDataFrame([], schema)
