@@ -146,6 +146,10 @@ def cap_percentile(spark, sf):
 
 
 def _handle_sql(view, target=None):
+    return with_facts(view) + _handle_union(view, target)
+
+
+def _handle_union(view, target=None):
     parts = []
     for c in cols(view, "num", exclude=(target,) if target else ()):
         meth = f"(SELECT {OUTLIER_HINT} FROM facts WHERE \"column\" = '{c}')"
@@ -155,7 +159,7 @@ def _handle_sql(view, target=None):
         parts.append(f"SELECT '{c}' AS \"column\", any_value(bb.m) AS method, "
                      f"CAST(coalesce(sum(CASE WHEN bb.lo IS NOT NULL AND ({c} < bb.lo OR {c} > bb.hi) THEN 1 ELSE 0 END), 0) AS BIGINT) AS outliers_found "
                      f"FROM src, ({b}) bb")
-    return with_facts(view) + union(parts)
+    return union(parts)
 
 
 @query("handle_outliers", _handle_sql("events"))
