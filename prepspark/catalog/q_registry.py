@@ -26,7 +26,10 @@ REGISTRY_TABLES = ["customer", "part", "lineitem", "orders", "supplier", "events
 
 
 def _registry(spark, sf):
-    fps = [(t, RG.fingerprint_row(load(spark, sf, t))) for t in REGISTRY_TABLES]
+    # one small job pair per table; the tables are independent, so submit them concurrently
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        fps = list(pool.map(lambda t: (t, RG.fingerprint_row(load(spark, sf, t))), REGISTRY_TABLES))
     return RG.fingerprint_df(spark, fps)
 
 

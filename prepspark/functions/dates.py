@@ -21,12 +21,27 @@ DATE_FORMATS = [
     ("MM/dd/yyyy", "%m/%d/%Y"),
 ]
 
+# Cheap shape test run before each parse: a failed parse is costly inside the
+# JVM, so text that cannot match a format's shape is rejected by a regex first.
+_SHAPES = {
+    "yyyy-MM-dd": r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$",
+    "yyyy-MM-dd HH:mm:ss": r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$",
+    "yyyy-MM-dd'T'HH:mm:ss": r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$",
+    "yyyy/MM/dd": r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$",
+    "MM/dd/yyyy": r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$",
+}
+
 # Parse-rate threshold for "this text column holds dates".
 DATE_RATE = 0.8
 
 
 def parse_with(c: Column, fmt: str) -> Column:
-    return F.try_to_timestamp(c.cast("string"), F.lit(fmt)).cast("timestamp_ntz")
+    txt = c.cast("string")
+    parsed = F.try_to_timestamp(txt, F.lit(fmt)).cast("timestamp_ntz")
+    shape = _SHAPES.get(fmt)
+    if shape is None:
+        return parsed
+    return F.when(txt.rlike(shape), parsed)
 
 
 def parse_rate_exprs(df: DataFrame, name: str) -> list[Column]:

@@ -40,17 +40,44 @@ class QuantileMode:
     error ``1/accuracy``.
     """
 
-    exact: bool = True
+    exact: bool | None = None          # None = decide from the input's estimated size
     accuracy: int = 100_000
     exact_ndv_limit: int = 5_000_000
+    exact_max_bytes: int = 8 << 30
 
 
-EXACT = QuantileMode()
+EXACT = QuantileMode(exact=True)
+APPROX = QuantileMode(exact=False)
+AUTO = QuantileMode()
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan (no job runs)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimates are optional
+        return None
+
+
+def resolve_mode(df: DataFrame, mode: QuantileMode) -> QuantileMode:
+    """AUTO -> exact quantiles for inputs up to ``exact_max_bytes`` (estimated), sketches above.
+
+    ``spark.prepspark.quantiles`` = exact | approx | auto overrides the default.
+    """
+    if mode.exact is not None:
+        return mode
+    conf = df.sparkSession.conf.get("spark.prepspark.quantiles", "auto")
+    if conf == "exact":
+        return EXACT
+    if conf == "approx":
+        return APPROX
+    size = estimated_bytes(df)
+    return EXACT if (size is None or size <= mode.exact_max_bytes) else APPROX
 
 
 def quantile_expr(c: Column, probs, mode: QuantileMode = EXACT, ndv: int | None = None) -> Column:
     probs = [float(p) for p in probs]
-    use_exact = mode.exact and (ndv is None or ndv <= mode.exact_ndv_limit)
+    use_exact = bool(mode.exact) and (ndv is None or ndv <= mode.exact_ndv_limit)
     if use_exact:
         return F.percentile(c, probs)
     return F.percentile_approx(c, probs, mode.accuracy).cast(T.ArrayType(T.DoubleType()))
@@ -119,7 +146,7 @@ def numeric_stats(
     df: DataFrame,
     columns: list[str],
     by: list[str] | None = None,
-    mode: QuantileMode = EXACT,
+    mode: QuantileMode = AUTO,
     ndv: dict | None = None,
 ) -> DataFrame:
     """One row per (group, numeric column): n, nulls, mean, std, min, max, quantiles, adj. skew/kurt.
@@ -129,6 +156,7 @@ def numeric_stats(
     by = list(by or [])
     probs = DEFAULT_PROBS
     ndv = ndv or {}
+    mode = resolve_mode(df, mode)
     spark = df.sparkSession
     if not columns:
         schema = ", ".join([f"`{b}` string" for b in by] + [

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import DATE_RATE, best_rate_expr
-from ..functions.stats import EXACT, QuantileMode, distinct_counts, numeric_stats, pandas_dtype_name, value_frequency
+from ..functions.stats import AUTO, QuantileMode, distinct_counts, numeric_stats, pandas_dtype_name, value_frequency
 from ..functions.types import as_text, clean_num, dtype_of, flat_columns, is_datetime_type, is_missing, is_numeric_type, numeric_columns, non_numeric_columns, q
 
 
@@ -106,7 +106,7 @@ def profile_unique(df: DataFrame, approx: bool = False) -> DataFrame:
     return distinct_counts(df, flat_columns(df), approx=approx).select("column", "nunique")
 
 
-def describe(df: DataFrame, mode: QuantileMode = EXACT) -> DataFrame:
+def describe(df: DataFrame, mode: QuantileMode = AUTO) -> DataFrame:
     """PR6: count/mean/std/min/25%/50%/75%/max per numeric column, NaN->0, rounded 4."""
     st = numeric_stats(df, numeric_columns(df), mode=mode)
     r = lambda c: F.round(F.coalesce(F.col(c), F.lit(0.0)), 4)
@@ -123,7 +123,7 @@ def column_summary(df: DataFrame) -> DataFrame:
         "column", "detected_type", "missing_pct", F.col("nunique").alias("unique_values"))
 
 
-def profile_moments(df: DataFrame, mode: QuantileMode = EXACT) -> DataFrame:
+def profile_moments(df: DataFrame, mode: QuantileMode = AUTO) -> DataFrame:
     """PR8 legacy profile: dtype, missing_pct, unique_count and, for numerics, mean/median/variance/skew."""
     prof = column_profile(df).select("column", "position", "dtype", "missing_pct", F.col("nunique").alias("unique_count"))
     st = numeric_stats(df, numeric_columns(df), mode=mode).select(
@@ -137,7 +137,7 @@ def skew_by_column(df: DataFrame) -> DataFrame:
     return st.select("column", F.round("skew", 3).alias("skew"), "kurt")
 
 
-def boxplot(df: DataFrame, limit_columns: int = 10, mode: QuantileMode = EXACT) -> DataFrame:
+def boxplot(df: DataFrame, limit_columns: int = 10, mode: QuantileMode = AUTO) -> DataFrame:
     """VZ2: min, q1, median, q3, max, mean, std for the first 10 numeric columns with >= 4 values."""
     cols = numeric_columns(df)[:limit_columns]
     st = numeric_stats(df, cols, mode=mode)

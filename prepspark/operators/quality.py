@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.stats import EXACT, QuantileMode, numeric_stats, stats_rows
+from ..functions.stats import AUTO, QuantileMode, numeric_stats, stats_rows
 from ..functions.types import as_text, clean_num, dtype_of, flat_columns, is_missing, non_numeric_columns, numeric_columns, q
 
 
-def iqr_fences(df: DataFrame, columns: list[str], mode: QuantileMode = EXACT) -> dict:
+def iqr_fences(df: DataFrame, columns: list[str], mode: QuantileMode = AUTO) -> dict:
     """Fit: ``{column: (q1, q3, lo, hi)}``; columns with iqr == 0 or no values get None."""
     st = stats_rows(numeric_stats(df, columns, mode=mode))
     out = {}
