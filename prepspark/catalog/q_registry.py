@@ -300,3 +300,22 @@ def basic_prep(spark, sf):
 
 
 __all__ = ["is_numeric_type"]
+
+
+# ---- streaming extension ----------------------------------------------------------------------
+
+@query("stream_scale_events", src("events") + "SELECT event_id, round((CAST(value AS DOUBLE) - (SELECT quantile_cont(value, 0.5) FROM src)) / "
+       "(SELECT CASE WHEN quantile_cont(value, 0.75) - quantile_cont(value, 0.25) = 0 THEN 1.0 "
+       "ELSE quantile_cont(value, 0.75) - quantile_cont(value, 0.25) END FROM src), 6) AS value FROM src")
+def stream_scale_events(spark, sf):
+    """X1: a robust scaler fitted in batch on events, applied to events read as a file stream."""
+    from ..operators import scale as SC
+    from ..streaming import apply as ST
+
+    batch = load(spark, sf, "events").select("event_id", "value")
+    plan = SC.fit_scaler(batch, columns=["value"], method="robust")
+    sdf = ST.file_stream(spark, sf, "events.parquet", load(spark, sf, "events").schema).select("event_id", "value")
+    out, ckpt = ST.stream_output_paths(ensure_checkpoint_dir(spark), f"scale-{uuid.uuid4().hex[:8]}")
+    ST.run_available(ST.apply_plans(sdf, plan), out, ckpt)
+    res = spark.read.parquet(out)
+    return res.select("event_id", F.round("value", 6).alias("value"))
