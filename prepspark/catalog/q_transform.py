@@ -135,7 +135,20 @@ def scaler_choice(spark, sf):
     return S.scaler_choice(df, None, rep)
 
 
-@query("scale_columns")
+def _scale_columns_sql(view):
+    return (with_facts(view) + f", rep AS ({_handle_union(view)})\n"
+            """, ch AS (SELECT f.*, CASE WHEN f.n < 2 THEN 'standard' WHEN coalesce(r.outliers_found, 0) > 0 THEN 'robust'
+   WHEN abs(f.skew) < 1.0 THEN 'standard' WHEN f.min >= 0 THEN 'minmax' ELSE 'standard' END AS k
+   FROM facts f LEFT JOIN rep r ON f."column" = r."column" WHERE f.kind = 'numeric')
+SELECT "column", CASE k WHEN 'minmax' THEN 'MinMaxScaler' WHEN 'robust' THEN 'RobustScaler' ELSE 'StandardScaler' END AS scaler,
+  round(CASE k WHEN 'minmax' THEN min WHEN 'robust' THEN q50 ELSE mean END, 6) AS shift,
+  round(CASE k WHEN 'minmax' THEN (CASE WHEN max - min = 0 THEN 1.0 ELSE max - min END)
+              WHEN 'robust' THEN (CASE WHEN q75 - q25 = 0 THEN 1.0 ELSE q75 - q25 END)
+              ELSE (CASE WHEN coalesce(std_pop, 0) = 0 THEN 1.0 ELSE std_pop END) END, 6) AS scale
+FROM ch""")
+
+
+@query("scale_columns", _scale_columns_sql("events"))
 def scale_columns(spark, sf):
     df = load(spark, sf, "events")
     op = O.fit_outliers(df)
