@@ -66,7 +66,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+_REGISTERED: dict = {}
+
+
 def register_all(spark: SparkSession, sf_dir: str) -> None:
+    """Register the base tables as temp views once per (session, folder)."""
+    if _REGISTERED.get(id(spark)) == sf_dir and all(spark.catalog.tableExists(t) for t in ("orders", "documents")):
+        return
+    _REGISTERED[id(spark)] = sf_dir
     for t in TABLES:
         p = table_path(sf_dir, t)
         if os.path.exists(p):
