@@ -114,13 +114,11 @@ NUMERIC_STATS_SCHEMA = [
 ]
 
 
-def _num_struct(df: DataFrame, name: str, pos: int, probs, mode: QuantileMode, ndv) -> Column:
-    x = clean_num(df, name)
+def _moment_struct(name: str, pos: int, x: Column) -> Column:
     n = F.count(x).cast("double")
-    qs = quantile_expr(x, probs, mode, ndv)
     var_pop = F.var_pop(x)
     m2_sum = F.coalesce(var_pop * n, F.lit(0.0))
-    fields = [
+    return F.struct(
         F.lit(name).alias("column"),
         F.lit(pos).alias("position"),
         F.count(F.lit(1)).alias("rows"),
@@ -132,14 +130,16 @@ def _num_struct(df: DataFrame, name: str, pos: int, probs, mode: QuantileMode, n
         F.var_samp(x).alias("var"),
         F.min(x).alias("min"),
         F.max(x).alias("max"),
-    ]
-    fields += [qs[i].alias(f"q{int(round(p * 100)):02d}") for i, p in enumerate(probs)]
-    fields += [
         adj_skew(n, F.skewness(x), m2_sum).alias("skew"),
         adj_kurt(n, F.kurtosis(x), m2_sum).alias("kurt"),
         m2_sum.alias("sum_sq_dev"),
-    ]
-    return F.struct(*fields)
+    )
+
+
+def _quantile_struct(name: str, x: Column, probs, mode: QuantileMode, ndv) -> Column:
+    qs = quantile_expr(x, probs, mode, ndv)
+    return F.struct(F.lit(name).alias("column"),
+                    *[qs[i].alias(f"q{int(round(p * 100)):02d}") for i, p in enumerate(probs)])
 
 
 def numeric_stats(
@@ -166,11 +166,20 @@ def numeric_stats(
         return spark.createDataFrame([], schema)
     parts = []
     positions = {c: i for i, c in enumerate(df.columns)}
+    keys = [q(b) for b in by]
+    # Two aggregates over the same scan: the moments run in a code-generated
+    # hash aggregate; the quantile buffers (an object aggregate, which would
+    # otherwise drag every moment into interpreted evaluation) run alone.
     for start in range(0, len(columns), AGG_CHUNK):
         chunk = columns[start:start + AGG_CHUNK]
-        arr = F.array(*[_num_struct(df, c, positions.get(c, -1), probs, mode, ndv.get(c)) for c in chunk]).alias("s")
-        agg = df.groupBy(*[q(b) for b in by]).agg(arr) if by else df.agg(arr)
-        parts.append(agg.select(*[q(b) for b in by], F.inline("s")))
+        mom = F.array(*[_moment_struct(c, positions.get(c, -1), clean_num(df, c)) for c in chunk]).alias("s")
+        qua = F.array(*[_quantile_struct(c, clean_num(df, c), probs, mode, ndv.get(c)) for c in chunk]).alias("s")
+        m = (df.groupBy(*keys).agg(mom) if by else df.agg(mom)).select(*keys, F.inline("s"))
+        qq = (df.groupBy(*keys).agg(qua) if by else df.agg(qua)).select(*keys, F.inline("s"))
+        joined = m.join(qq, on=list(by) + ["column"], how="left")
+        parts.append(joined.select(*keys, "column", "position", "rows", "n", "nulls", "mean", "std", "std_pop", "var",
+                                   "min", "max", *[f"q{int(round(p * 100)):02d}" for p in probs],
+                                   "skew", "kurt", "sum_sq_dev"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
