@@ -186,6 +186,36 @@ def numeric_stats(
     return out
 
 
+def numeric_quantiles(df: DataFrame, columns: list[str], mode: QuantileMode = AUTO, ndv: dict | None = None) -> DataFrame:
+    """``(column, q01, q25, q50, q75, q99)`` for numeric columns -- the quantile half of :func:`numeric_stats`."""
+    mode = resolve_mode(df, mode)
+    ndv = ndv or {}
+    names = [f"q{int(round(p * 100)):02d}" for p in DEFAULT_PROBS]
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, " + ", ".join(f"{n} double" for n in names))
+    parts = []
+    for start in range(0, len(columns), AGG_CHUNK):
+        chunk = columns[start:start + AGG_CHUNK]
+        qua = F.array(*[_quantile_struct(c, clean_num(df, c), DEFAULT_PROBS, mode, ndv.get(c)) for c in chunk]).alias("s")
+        parts.append(df.agg(qua).select(F.inline("s")))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
+
+
+def moment_fields(name: str, x: Column | None) -> list[Column]:
+    """Moment fields of one column for a profile struct (typed NULLs when ``x`` is None)."""
+    names = ["n", "mean", "std", "std_pop", "min", "max", "skew", "kurt"]
+    if x is None:
+        return [F.lit(None).cast("long").alias("n")] + [F.lit(None).cast("double").alias(n) for n in names[1:]]
+    n = F.count(x).cast("double")
+    m2_sum = F.coalesce(F.var_pop(x) * n, F.lit(0.0))
+    return [F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+            F.stddev_pop(x).alias("std_pop"), F.min(x).alias("min"), F.max(x).alias("max"),
+            adj_skew(n, F.skewness(x), m2_sum).alias("skew"), adj_kurt(n, F.kurtosis(x), m2_sum).alias("kurt")]
+
+
 def value_frequency(
     df: DataFrame,
     columns: list[str],

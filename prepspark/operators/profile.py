@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import DATE_RATE, best_rate_expr
-from ..functions.stats import AUTO, QuantileMode, distinct_counts, numeric_stats, pandas_dtype_name, value_frequency
+from ..functions.stats import AUTO, QuantileMode, distinct_counts, moment_fields, numeric_stats, pandas_dtype_name, value_frequency
 from ..functions.types import as_text, clean_num, dtype_of, flat_columns, is_datetime_type, is_missing, is_numeric_type, numeric_columns, non_numeric_columns, q
 
 
-def _scan_struct(df: DataFrame, name: str, pos: int):
+def _scan_struct(df: DataFrame, name: str, pos: int, with_moments: bool = False):
     dt = dtype_of(df, name)
     numeric = is_numeric_type(dt)
     dtime = is_datetime_type(dt)
@@ -24,6 +24,7 @@ def _scan_struct(df: DataFrame, name: str, pos: int):
         rate = F.lit(0.0)
     else:
         rate = best_rate_expr(df, name)
+    extra = moment_fields(name, clean_num(df, name) if numeric else None) if with_moments else []
     return F.struct(
         F.lit(name).alias("column"),
         F.lit(pos).alias("position"),
@@ -32,10 +33,12 @@ def _scan_struct(df: DataFrame, name: str, pos: int):
         F.sum(F.when(is_missing(df, name), 1).otherwise(0)).cast("long").alias("nulls"),
         F.avg(F.length(as_text(df, name, "nan"))).alias("avg_len"),
         rate.alias("date_rate"),
+        *extra,
     )
 
 
-def column_profile(df: DataFrame, text_len: int = 18, approx_distinct: bool = False, by=None) -> DataFrame:
+def column_profile(df: DataFrame, text_len: int = 18, approx_distinct: bool = False, by=None,
+                   with_moments: bool = False) -> DataFrame:
     """One row per column: dtype, rows, nulls, missing_pct, nunique, date parse rate, detected_type.
 
     ``detected_type`` is the semantic type (PR1): numeric dtype -> numeric;
@@ -46,7 +49,7 @@ def column_profile(df: DataFrame, text_len: int = 18, approx_distinct: bool = Fa
     by = list(by or [])
     cols = [c for c in flat_columns(df) if c not in by]
     pos = {c: i for i, c in enumerate(df.columns)}
-    arr = F.array(*[_scan_struct(df, c, pos[c]) for c in cols]).alias("s")
+    arr = F.array(*[_scan_struct(df, c, pos[c], with_moments) for c in cols]).alias("s")
     rows = F.count(F.lit(1)).alias("rows")
     scan = (df.groupBy(*[q(b) for b in by]).agg(rows, arr) if by else df.agg(rows, arr))
     scan = scan.select(*[q(b) for b in by], "rows", F.inline("s"))
@@ -69,6 +72,7 @@ def column_profile(df: DataFrame, text_len: int = 18, approx_distinct: bool = Fa
         F.coalesce(F.col("nunique_all"), F.lit(0)).cast("long").alias("nunique_all"),
         "avg_len", "date_rate",
         detected.alias("detected_type"),
+        *([F.col(c) for c in ("n", "mean", "std", "std_pop", "min", "max", "skew", "kurt")] if with_moments else []),
     )
 
 
