@@ -42,7 +42,7 @@ _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "n
 
 
 @query("encode_onehot", src("customer_dirty") + "SELECT c_custkey, " + ", ".join(
-    f"CASE WHEN coalesce(c_mktsegment, 'nan') = '{v}' THEN 1.0 ELSE 0.0 END AS c_mktsegment_{v}" for v in _SEGMENTS) + " FROM src")
+    f"CASE WHEN coalesce(c_mktsegment, 'nan') = '{v}' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS c_mktsegment_{v}" for v in _SEGMENTS) + " FROM src")
 def encode_onehot(spark, sf):
     df = load(spark, sf, "customer_dirty").select("c_custkey", "c_mktsegment")
     plan = E.fit_encoder(df, ["c_mktsegment"], decisions={"c_mktsegment": "onehot"})
@@ -62,7 +62,7 @@ _TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 @query("encode_all", src("part") + "SELECT p_partkey, p_size, p_retailprice, " + ", ".join(
     [f"CAST(({_code('p_name')} >> {i}) & 1 AS INTEGER) AS p_name_bin_{i}" for i in range(7)]
     + [f"CAST(({_code('p_brand')} >> {i}) & 1 AS INTEGER) AS p_brand_bin_{i}" for i in range(5)]
-    + [f"CASE WHEN p_type = '{v}' THEN 1.0 ELSE 0.0 END AS p_type_{v}" for v in _TYPES]) + " FROM src")
+    + [f"CASE WHEN p_type = '{v}' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS p_type_{v}" for v in _TYPES]) + " FROM src")
 def encode_all(spark, sf):
     df = load(spark, sf, "part")
     dec = {r["column"]: r["encoding"] for r in C.suggest_encodings(df, None).collect()}

@@ -19,8 +19,10 @@ from prepspark.sources.tables import TABLES, table_path  # noqa: E402
 
 def fam_spark(t: str) -> str:
     t = t.lower()
-    if t in ("tinyint", "smallint", "int", "bigint"):
-        return "int"
+    if t in ("tinyint", "smallint", "int"):
+        return "int32"
+    if t == "bigint":
+        return "int64"
     if t in ("float", "double"):
         return "float"
     if t.startswith("decimal"):
@@ -34,8 +36,10 @@ def fam_spark(t: str) -> str:
 
 def fam_duck(t: str) -> str:
     t = t.upper()
-    if t in ("TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "UTINYINT", "USMALLINT", "UINTEGER", "UBIGINT"):
-        return "int"
+    if t in ("TINYINT", "SMALLINT", "INTEGER", "UTINYINT", "USMALLINT"):
+        return "int32"
+    if t in ("BIGINT", "HUGEINT", "UINTEGER", "UBIGINT"):
+        return "int64"
     if t in ("FLOAT", "DOUBLE"):
         return "float"
     if t.startswith("DECIMAL"):
