@@ -148,9 +148,12 @@ def numeric_stats(
     by: list[str] | None = None,
     mode: QuantileMode = AUTO,
     ndv: dict | None = None,
+    quantiles: bool = True,
 ) -> DataFrame:
     """One row per (group, numeric column): n, nulls, mean, std, min, max, quantiles, adj. skew/kurt.
 
+    ``quantiles=False`` skips the quantile aggregate (the q-fields are NULL).
+
     All columns are aggregated in one pass per chunk of :data:`AGG_CHUNK` columns.
     """
     by = list(by or [])
@@ -175,8 +178,11 @@ def numeric_stats(
         mom = F.array(*[_moment_struct(c, positions.get(c, -1), clean_num(df, c)) for c in chunk]).alias("s")
         qua = F.array(*[_quantile_struct(c, clean_num(df, c), probs, mode, ndv.get(c)) for c in chunk]).alias("s")
         m = (df.groupBy(*keys).agg(mom) if by else df.agg(mom)).select(*keys, F.inline("s"))
-        qq = (df.groupBy(*keys).agg(qua) if by else df.agg(qua)).select(*keys, F.inline("s"))
-        joined = m.join(qq, on=list(by) + ["column"], how="left")
+        if quantiles:
+            qq = (df.groupBy(*keys).agg(qua) if by else df.agg(qua)).select(*keys, F.inline("s"))
+            joined = m.join(qq, on=list(by) + ["column"], how="left")
+        else:
+            joined = m.select("*", *[F.lit(None).cast("double").alias(f"q{int(round(p * 100)):02d}") for p in probs])
         parts.append(joined.select(*keys, "column", "position", "rows", "n", "nulls", "mean", "std", "std_pop", "var",
                                    "min", "max", *[f"q{int(round(p * 100)):02d}" for p in probs],
                                    "skew", "kurt", "sum_sq_dev"))
