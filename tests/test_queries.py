@@ -12,7 +12,8 @@ SF = "/root/testdata/sf0.001"
 
 FAST = ["profile_missing", "semantic_types", "analyze_columns", "issues_summary", "impute_mode", "cap_iqr",
         "encode_label", "scale_robust", "bin_equal_freq", "mutual_info", "knn_impute", "table_digest", "audit_chain",
-        "quality_score", "read_csv_infer"]
+        "quality_score", "read_csv_infer", "stream_scale_events", "scale_columns",
+        "fs_low_variance"]
 
 
 def _norm(v):
