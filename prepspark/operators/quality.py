@@ -236,9 +236,11 @@ def fuzzy_categories(df: DataFrame, columns: list[str] | None = None, block: int
 
 
 def detect_issues(df: DataFrame) -> dict:
-    """The reference's issue report, as DataFrames."""
+    """The reference's issue report, as DataFrames (missing, summary, IQR outliers, inconsistencies)."""
+    from .profile import profile_missing
+
     return {
-        "missing": __import__("prepspark.operators.profile", fromlist=["x"]).profile_missing(df),
+        "missing": profile_missing(df),
         "summary": issues_summary(df),
         "outliers": iqr_outlier_counts(df),
         "inconsistencies": fuzzy_categories(df),

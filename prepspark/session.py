@@ -43,7 +43,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="prepspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    try:
+        spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions read spark.checkpoint.dir themselves
+        pass
     return current
 
 
