@@ -248,3 +248,18 @@ def preview(df: DataFrame, key: str | None = None, n: int = 30) -> DataFrame:
     cols = flat_columns(df)
     out = df.orderBy(q(key)) if key else df
     return out.limit(n).select(*[F.coalesce(as_text(df, c, None), F.lit("")).alias(c) for c in cols])
+
+
+def dashboard(df: DataFrame, key: str | None = None) -> dict:
+    """VZ6 bundle: profile, charts, preview and column list, each a (lazy) DataFrame."""
+    return {
+        "profile": column_profile(df),
+        "describe": describe(df),
+        "histograms": histogram(df),
+        "boxplots": boxplot(df),
+        "top_values": top_values(df),
+        "correlation": correlation(df),
+        "skewness": skew_by_column(df),
+        "preview": preview(df, key),
+        "columns": list(df.columns),
+    }
