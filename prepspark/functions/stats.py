@@ -75,6 +75,20 @@ def resolve_mode(df: DataFrame, mode: QuantileMode) -> QuantileMode:
     return EXACT if (size is None or size <= mode.exact_max_bytes) else APPROX
 
 
+def use_approx_distinct(df: DataFrame, approx: bool | None = None, max_bytes: int = 8 << 30) -> bool:
+    """Distinct counts: exact (frequency shuffle) up to ``max_bytes`` of estimated input, HyperLogLog++ above.
+
+    ``spark.prepspark.distinct`` = exact | approx | auto overrides the default.
+    """
+    if approx is not None:
+        return approx
+    conf = df.sparkSession.conf.get("spark.prepspark.distinct", "auto")
+    if conf in ("exact", "approx"):
+        return conf == "approx"
+    size = estimated_bytes(df)
+    return size is not None and size > max_bytes
+
+
 def quantile_expr(c: Column, probs, mode: QuantileMode = EXACT, ndv: int | None = None) -> Column:
     probs = [float(p) for p in probs]
     use_exact = bool(mode.exact) and (ndv is None or ndv <= mode.exact_ndv_limit)
@@ -242,7 +256,7 @@ def value_frequency(
     return long.groupBy(*[q(b) for b in by], "column", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def distinct_counts(df: DataFrame, columns: list[str], approx: bool = False, by: list[str] | None = None) -> DataFrame:
+def distinct_counts(df: DataFrame, columns: list[str], approx: bool | None = None, by: list[str] | None = None) -> DataFrame:
     """``(column, nunique, nunique_all)``: distinct non-null values, and distinct counting NULL as a value.
 
     Exact mode goes through :func:`value_frequency` (one shuffle for all
@@ -250,7 +264,7 @@ def distinct_counts(df: DataFrame, columns: list[str], approx: bool = False, by:
     Approx mode is a single HyperLogLog++ pass with no shuffle of values.
     """
     by = list(by or [])
-    if approx:
+    if use_approx_distinct(df, approx):
         arr = F.array(*[
             F.struct(
                 F.lit(c).alias("column"),

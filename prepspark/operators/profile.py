@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import DATE_RATE, best_rate_expr
+from ..functions.names import in_scale_agg
 from ..functions.stats import AUTO, QuantileMode, distinct_counts, moment_fields, numeric_stats, pandas_dtype_name, value_frequency
 from ..functions.types import as_text, clean_num, dtype_of, flat_columns, is_datetime_type, is_missing, is_numeric_type, numeric_columns, non_numeric_columns, q
 
@@ -24,7 +25,10 @@ def _scan_struct(df: DataFrame, name: str, pos: int, with_moments: bool = False)
         rate = F.lit(0.0)
     else:
         rate = best_rate_expr(df, name)
-    extra = moment_fields(name, clean_num(df, name) if numeric else None) if with_moments else []
+    extra = []
+    if with_moments:
+        extra = moment_fields(name, clean_num(df, name) if numeric else None)
+        extra.append((F.lit(True) if numeric else in_scale_agg(df, name)).alias("in_scale"))
     return F.struct(
         F.lit(name).alias("column"),
         F.lit(pos).alias("position"),
@@ -37,7 +41,7 @@ def _scan_struct(df: DataFrame, name: str, pos: int, with_moments: bool = False)
     )
 
 
-def column_profile(df: DataFrame, text_len: int = 18, approx_distinct: bool = False, by=None,
+def column_profile(df: DataFrame, text_len: int = 18, approx_distinct: bool | None = None, by=None,
                    with_moments: bool = False) -> DataFrame:
     """One row per column: dtype, rows, nulls, missing_pct, nunique, date parse rate, detected_type.
 
@@ -72,7 +76,8 @@ def column_profile(df: DataFrame, text_len: int = 18, approx_distinct: bool = Fa
         F.coalesce(F.col("nunique_all"), F.lit(0)).cast("long").alias("nunique_all"),
         "avg_len", "date_rate",
         detected.alias("detected_type"),
-        *([F.col(c) for c in ("n", "mean", "std", "std_pop", "min", "max", "skew", "kurt")] if with_moments else []),
+        *([F.col(c) for c in ("n", "mean", "std", "std_pop", "min", "max", "skew", "kurt", "in_scale")]
+          if with_moments else []),
     )
 
 
@@ -105,7 +110,7 @@ def profile_missing(df: DataFrame) -> DataFrame:
     )
 
 
-def profile_unique(df: DataFrame, approx: bool = False) -> DataFrame:
+def profile_unique(df: DataFrame, approx: bool | None = None) -> DataFrame:
     """PR5: distinct non-null values per column."""
     return distinct_counts(df, flat_columns(df), approx=approx).select("column", "nunique")
 
