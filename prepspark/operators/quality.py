@@ -72,23 +72,29 @@ def issues_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def validate(df: DataFrame) -> DataFrame:
-    """VA1: total missing, duplicate rows, all numerics finite -> is_valid.  One shuffle."""
-    cols = flat_columns(df)
-    nums = numeric_columns(df)
+def validate(df: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """VA1: total missing, duplicate rows, all numerics finite -> is_valid.  One shuffle.
+
+    ``by=`` validates every group (e.g. every partition of a large table) in the same job.
+    """
+    by = list(by or [])
+    cols = [c for c in flat_columns(df) if c not in by]
+    nums = [c for c in numeric_columns(df) if c not in by]
     nulls_in_row = sum((F.when(is_missing(df, c), 1).otherwise(0) for c in cols), F.lit(0))
     finite = F.lit(True)
     for c in nums:
         x = q(c).cast("double")
         finite = finite & x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
-    g = df.groupBy(*[q(c) for c in cols]).agg(
+    g = df.groupBy(*[q(b) for b in by], *[q(c) for c in cols]).agg(
         F.count(F.lit(1)).alias("cnt"), F.first(nulls_in_row).alias("nn"), F.first(finite).alias("fin"))
-    out = g.agg(
+    aggs = [
         F.coalesce(F.sum(F.col("cnt") * F.col("nn")), F.lit(0)).cast("long").alias("missing_total"),
         F.coalesce(F.sum(F.col("cnt") - 1), F.lit(0)).cast("long").alias("duplicate_rows"),
         F.coalesce(F.min(F.col("fin").cast("int")), F.lit(1)).alias("fin"),
-    )
+    ]
+    out = g.groupBy(*[q(b) for b in by]).agg(*aggs) if by else g.agg(*aggs)
     return out.select(
+        *[q(b) for b in by],
         ((F.col("missing_total") == 0) & (F.col("duplicate_rows") == 0) & (F.col("fin") == 1)).alias("is_valid"),
         "missing_total", "duplicate_rows", (F.col("fin") == 1).alias("numeric_finite"),
     )
