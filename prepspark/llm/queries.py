@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup  # noqa: F401
+from . import exact_dedup, source_mix  # noqa: F401
 from .common import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
