@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, language_id, minhash_dedup, source_mix  # noqa: F401
+from . import bpe, exact_dedup, language_id, minhash_dedup, source_mix, warc  # noqa: F401
 from .common import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
