@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, html_text, language_id, minhash_dedup, source_mix, warc, winnowing  # noqa: F401
+from . import bpe, exact_dedup, html_text, language_id, license_scan, minhash_dedup, source_mix, warc, winnowing  # noqa: F401
 from .common import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
