@@ -27,4 +27,3 @@ def empty(odd):
     return odd.where("false")
 
 
-SF = "/root/testdata/sf0.001"
