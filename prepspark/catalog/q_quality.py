@@ -49,7 +49,7 @@ def fuzzy_categories(spark, sf):
 
 def _normalize_sql(view):
     sel = ", ".join(
-        (f"lower(trim(coalesce(CAST({c} AS VARCHAR), 'nan'))) AS {c}" if k != "num" else c) for c, k in SCHEMAS[view])
+        (f"lower(regexp_replace(coalesce(CAST({c} AS VARCHAR), 'nan'), '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g')) AS {c}" if k != "num" else c) for c, k in SCHEMAS[view])
     return src(view) + f"SELECT {sel} FROM src"
 
 

@@ -13,7 +13,7 @@ def in_scale_sql(c: str) -> str:
     parts = []
     for s in ORDINAL_SCALES:
         lst = ", ".join(f"'{v}'" for v in s)
-        parts.append(f"coalesce(bool_and(lower(trim(CAST({c} AS VARCHAR))) IN ({lst})) FILTER (WHERE {c} IS NOT NULL), true)")
+        parts.append(f"coalesce(bool_and(lower(regexp_replace(CAST({c} AS VARCHAR), '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g')) IN ({lst})) FILTER (WHERE {c} IS NOT NULL), true)")
     return "(" + " OR ".join(parts) + ")"
 
 

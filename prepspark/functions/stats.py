@@ -8,16 +8,15 @@ Two scans feed every decision in the library:
   ``groupBy().count()``; from it come distinct counts, modes, dictionaries,
   top-k lists and ordinal value sets.
 
-Both accept ``by=`` so one job can score every group of a large table, and
-both use map-side partial aggregation, so a hot value or a hot group costs
+Both use map-side partial aggregation, so a hot value or a hot group costs
 one combined row per task, never a task holding the whole group.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,72 +28,93 @@ DEFAULT_PROBS = (0.01, 0.25, 0.5, 0.75, 0.99)
 AGG_CHUNK = 48
 
 
-@dataclass(frozen=True)
-class QuantileMode:
-    """Exact (``percentile``) or approximate (``percentile_approx``) quantiles.
-
-    ``percentile`` keeps a value->count map per column in the aggregation
-    buffer, so it is bounded by the number of *distinct* values.  Above
-    ``exact_ndv_limit`` distinct values (known from the profile job) the
-    library switches to the streaming-sketch quantile with relative rank
-    error ``1/accuracy``.
-    """
-
-    exact: bool | None = None          # None = decide from the input's estimated size
-    accuracy: int = 100_000
-    exact_ndv_limit: int = 5_000_000
-    exact_max_bytes: int = 8 << 30
-
-
-EXACT = QuantileMode(exact=True)
-APPROX = QuantileMode(exact=False)
-AUTO = QuantileMode()
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (no job runs)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimates are optional
-        return None
-
-
-def resolve_mode(df: DataFrame, mode: QuantileMode) -> QuantileMode:
-    """AUTO -> exact quantiles for inputs up to ``exact_max_bytes`` (estimated), sketches above.
-
-    ``spark.prepspark.quantiles`` = exact | approx | auto overrides the default.
+# Rank error of the sketch that brackets a quantile, and rows up to which the whole column is the bracket.
+SKETCH_ACCURACY = 10_000
+WHOLE_COLUMN = 1_000_000
+
+
+def _brackets(df: DataFrame, exprs: dict, probs: dict, margin: float) -> dict:
+    """name -> (n, [(low, high) per probability]) from one sketch aggregate."""
+    names = list(exprs)
+    found = {}
+    for start in range(0, len(names), AGG_CHUNK):
+        chunk = names[start:start + AGG_CHUNK]
+        aggs = []
+        for i, c in enumerate(chunk):
+            ends = [e for p in probs[c] for e in (max(0.0, p - margin), min(1.0, p + margin))]
+            aggs += [F.count(exprs[c]).alias(f"n{i}"), F.min(exprs[c]).alias(f"lo{i}"), F.max(exprs[c]).alias(f"hi{i}"),
+                     F.percentile_approx(exprs[c], ends, SKETCH_ACCURACY).alias(f"q{i}")]
+        row = df.agg(*aggs).first()
+        for i, c in enumerate(chunk):
+            n, lo, hi, qs = (row[f"{k}{i}"] for k in ("n", "lo", "hi", "q"))
+            if n <= WHOLE_COLUMN:
+                found[c] = (n, [(lo, hi)] * len(probs[c]))
+            else:
+                found[c] = (n, [(lo if p - margin <= 0 else float(qs[2 * k]), hi if p + margin >= 1 else float(qs[2 * k + 1]))
+                                for k, p in enumerate(probs[c])])
+    return found
+
+
+def exact_quantiles(df: DataFrame, exprs: dict, probs) -> dict:
+    """Exact linear-interpolation quantiles: ``{name: [value per probability]}`` (None for an empty column).
+
+    A sketch only says where to look: it gives each probability a bracket of
+    values.  A second scan counts what lies below the bracket and how often
+    each value in it occurs (a few ten-thousandths of the rows), and the two
+    neighbours of the quantile are picked by their rank.  Where the counts show
+    that a bracket missed them, it is widened and counted again, so the answer
+    is that of a full sort at any size; no buffer or task holds a column.
+    Small columns are their own bracket.  What reaches the driver is two
+    numbers per column and probability.
     """
-    if mode.exact is not None:
-        return mode
-    conf = df.sparkSession.conf.get("spark.prepspark.quantiles", "auto")
-    if conf == "exact":
-        return EXACT
-    if conf == "approx":
-        return APPROX
-    size = estimated_bytes(df)
-    return EXACT if (size is None or size <= mode.exact_max_bytes) else APPROX
-
-
-def use_approx_distinct(df: DataFrame, approx: bool | None = None, max_bytes: int = 8 << 30) -> bool:
-    """Distinct counts: exact (frequency shuffle) up to ``max_bytes`` of estimated input, HyperLogLog++ above.
-
-    ``spark.prepspark.distinct`` = exact | approx | auto overrides the default.
-    """
-    if approx is not None:
-        return approx
-    conf = df.sparkSession.conf.get("spark.prepspark.distinct", "auto")
-    if conf in ("exact", "approx"):
-        return conf == "approx"
-    size = estimated_bytes(df)
-    return size is not None and size > max_bytes
-
-
-def quantile_expr(c: Column, probs, mode: QuantileMode = EXACT, ndv: int | None = None) -> Column:
-    probs = [float(p) for p in probs]
-    use_exact = bool(mode.exact) and (ndv is None or ndv <= mode.exact_ndv_limit)
-    if use_exact:
-        return F.percentile(c, probs)
-    return F.percentile_approx(c, probs, mode.accuracy).cast(T.ArrayType(T.DoubleType()))
+    spark = df.sparkSession
+    probs = {c: [float(p) for p in (probs[c] if isinstance(probs, dict) else probs)] for c in exprs}
+    out = {c: [None] * len(probs[c]) for c in exprs}
+    open_ = dict(exprs)
+    margin = 4.0 / SKETCH_ACCURACY
+    while open_:
+        found = _brackets(df, open_, probs, margin)
+        spans = {}                      # (column, low, high) -> probabilities in it
+        for c, (n, ends) in found.items():
+            for k, (lo, hi) in enumerate(ends):
+                if n and out[c][k] is None:
+                    spans.setdefault((c, lo, hi), []).append(k)
+        keys = list(spans)
+        if not keys:
+            break
+        xs = [open_[c] for c, _, _ in keys]
+        below = [0] * len(keys)
+        partial = [i for i, (c, _, _) in enumerate(keys) if found[c][0] > WHOLE_COLUMN]
+        for start in range(0, len(partial), 4 * AGG_CHUNK):
+            part = partial[start:start + 4 * AGG_CHUNK]
+            row = df.agg(*[F.coalesce(F.sum(F.when(xs[i] < F.lit(keys[i][1]), 1)), F.lit(0)).alias(f"b{i}") for i in part]).first()
+            for i in part:
+                below[i] = row[f"b{i}"]
+        inside = F.array(*[F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), F.struct(F.lit(i).alias("i"), x.alias("v")))
+                           for i, (x, (_, lo, hi)) in enumerate(zip(xs, keys))])
+        freq = df.select(F.explode(inside).alias("s")).where("s IS NOT NULL").groupBy("s.i", "s.v").agg(F.count(F.lit(1)).alias("cnt"))
+        targets = []
+        for i, (c, _, _) in enumerate(keys):
+            for k in spans[keys[i]]:
+                pos = probs[c][k] * (found[c][0] - 1)
+                targets += [(i, k, 0, math.floor(pos) - below[i]), (i, k, 1, math.ceil(pos) - below[i])]
+        wanted = spark.createDataFrame(targets, "i int, k int, side int, at long")
+        upto = F.sum("cnt").over(Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+        ranked = freq.withColumn("upto", upto)
+        hit = ranked.join(F.broadcast(wanted), "i").where("at >= upto - cnt AND at < upto").select("i", "k", "side", "v")
+        got = {(r["i"], r["k"], r["side"]): float(r["v"]) for r in hit.collect()}
+        again = set()
+        for i, (c, _, _) in enumerate(keys):
+            for k in spans[keys[i]]:
+                lo, hi = got.get((i, k, 0)), got.get((i, k, 1))
+                if lo is None or hi is None:
+                    again.add(c)
+                    continue
+                pos = probs[c][k] * (found[c][0] - 1)
+                out[c][k] = lo if lo == hi else (math.ceil(pos) - pos) * lo + (pos - math.floor(pos)) * hi
+        open_ = {c: x for c, x in open_.items() if c in again}
+        margin *= 16
+    return out
 
 
 def adj_skew(n: Column, skew_pop: Column, m2_sum: Column) -> Column:
@@ -150,78 +170,44 @@ def _moment_struct(name: str, pos: int, x: Column) -> Column:
     )
 
 
-def _quantile_struct(name: str, x: Column, probs, mode: QuantileMode, ndv) -> Column:
-    qs = quantile_expr(x, probs, mode, ndv)
-    return F.struct(F.lit(name).alias("column"),
-                    *[qs[i].alias(f"q{int(round(p * 100)):02d}") for i, p in enumerate(probs)])
+def _quantile_names(probs=DEFAULT_PROBS) -> list[str]:
+    return [f"q{int(round(p * 100)):02d}" for p in probs]
 
 
-def numeric_stats(
-    df: DataFrame,
-    columns: list[str],
-    by: list[str] | None = None,
-    mode: QuantileMode = AUTO,
-    ndv: dict | None = None,
-    quantiles: bool = True,
-) -> DataFrame:
-    """One row per (group, numeric column): n, nulls, mean, std, min, max, quantiles, adj. skew/kurt.
+def numeric_quantiles(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(column, q01, q25, q50, q75, q99)`` for numeric columns: exact at any size."""
+    names = _quantile_names()
+    found = exact_quantiles(df, {c: clean_num(df, c) for c in columns}, DEFAULT_PROBS) if columns else {}
+    return df.sparkSession.createDataFrame([(c, *found[c]) for c in columns],
+                                           "column string, " + ", ".join(f"{n} double" for n in names))
 
-    ``quantiles=False`` skips the quantile aggregate (the q-fields are NULL).
 
-    All columns are aggregated in one pass per chunk of :data:`AGG_CHUNK` columns.
+def numeric_stats(df: DataFrame, columns: list[str], quantiles: bool = True) -> DataFrame:
+    """One row per numeric column: n, nulls, mean, std, min, max, quantiles, adj. skew/kurt.
+
+    The moments of :data:`AGG_CHUNK` columns come from one code-generated hash
+    aggregate; the quantiles from :func:`exact_quantiles`.
+    ``quantiles=False`` skips them (the q-fields are NULL).
     """
-    by = list(by or [])
-    probs = DEFAULT_PROBS
-    ndv = ndv or {}
-    mode = resolve_mode(df, mode)
     spark = df.sparkSession
+    names = _quantile_names()
     if not columns:
-        schema = ", ".join([f"`{b}` string" for b in by] + [
-            "column string", "position int", "rows long", "n long", "nulls long", "mean double", "std double",
-            "std_pop double", "var double", "min double", "max double", "q01 double", "q25 double",
-            "q50 double", "q75 double", "q99 double", "skew double", "kurt double", "sum_sq_dev double"])
-        return spark.createDataFrame([], schema)
-    parts = []
+        return spark.createDataFrame([], (
+            "column string, position int, rows long, n long, nulls long, mean double, std double, "
+            "std_pop double, var double, min double, max double, q01 double, q25 double, "
+            "q50 double, q75 double, q99 double, skew double, kurt double, sum_sq_dev double"))
     positions = {c: i for i, c in enumerate(df.columns)}
-    keys = [q(b) for b in by]
-    # Two aggregates over the same scan: the moments run in a code-generated
-    # hash aggregate; the quantile buffers (an object aggregate, which would
-    # otherwise drag every moment into interpreted evaluation) run alone.
+    out = None
     for start in range(0, len(columns), AGG_CHUNK):
         chunk = columns[start:start + AGG_CHUNK]
         mom = F.array(*[_moment_struct(c, positions.get(c, -1), clean_num(df, c)) for c in chunk]).alias("s")
-        qua = F.array(*[_quantile_struct(c, clean_num(df, c), probs, mode, ndv.get(c)) for c in chunk]).alias("s")
-        m = (df.groupBy(*keys).agg(mom) if by else df.agg(mom)).select(*keys, F.inline("s"))
-        if quantiles:
-            qq = (df.groupBy(*keys).agg(qua) if by else df.agg(qua)).select(*keys, F.inline("s"))
-            joined = m.join(qq, on=list(by) + ["column"], how="left")
-        else:
-            joined = m.select("*", *[F.lit(None).cast("double").alias(f"q{int(round(p * 100)):02d}") for p in probs])
-        parts.append(joined.select(*keys, "column", "position", "rows", "n", "nulls", "mean", "std", "std_pop", "var",
-                                   "min", "max", *[f"q{int(round(p * 100)):02d}" for p in probs],
-                                   "skew", "kurt", "sum_sq_dev"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def numeric_quantiles(df: DataFrame, columns: list[str], mode: QuantileMode = AUTO, ndv: dict | None = None) -> DataFrame:
-    """``(column, q01, q25, q50, q75, q99)`` for numeric columns -- the quantile half of :func:`numeric_stats`."""
-    mode = resolve_mode(df, mode)
-    ndv = ndv or {}
-    names = [f"q{int(round(p * 100)):02d}" for p in DEFAULT_PROBS]
-    if not columns:
-        return df.sparkSession.createDataFrame([], "column string, " + ", ".join(f"{n} double" for n in names))
-    parts = []
-    for start in range(0, len(columns), AGG_CHUNK):
-        chunk = columns[start:start + AGG_CHUNK]
-        qua = F.array(*[_quantile_struct(c, clean_num(df, c), DEFAULT_PROBS, mode, ndv.get(c)) for c in chunk]).alias("s")
-        parts.append(df.agg(qua).select(F.inline("s")))
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return out
+        part = df.agg(mom).select(F.inline("s"))
+        out = part if out is None else out.unionByName(part)
+    if quantiles:
+        out = out.join(F.broadcast(numeric_quantiles(df, columns)), "column", "left")  # a row per column
+    else:
+        out = out.select("*", *[F.lit(None).cast("double").alias(n) for n in names])
+    return out.select(*NUMERIC_STATS_SCHEMA)
 
 
 def moment_fields(name: str, x: Column | None) -> list[Column]:
@@ -256,15 +242,16 @@ def value_frequency(
     return long.groupBy(*[q(b) for b in by], "column", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def distinct_counts(df: DataFrame, columns: list[str], approx: bool | None = None, by: list[str] | None = None) -> DataFrame:
+def distinct_counts(df: DataFrame, columns: list[str], approx: bool = False, by: list[str] | None = None) -> DataFrame:
     """``(column, nunique, nunique_all)``: distinct non-null values, and distinct counting NULL as a value.
 
-    Exact mode goes through :func:`value_frequency` (one shuffle for all
-    columns instead of one Expand copy of the data per ``countDistinct``).
-    Approx mode is a single HyperLogLog++ pass with no shuffle of values.
+    Exact, through :func:`value_frequency` (one shuffle for all columns instead
+    of one Expand copy of the data per ``countDistinct``), unless the caller
+    asks for HyperLogLog++ with ``approx=True``.
     """
     by = list(by or [])
-    if use_approx_distinct(df, approx):
+    keys = [q(b) for b in by]
+    if approx:
         arr = F.array(*[
             F.struct(
                 F.lit(c).alias("column"),
@@ -274,23 +261,14 @@ def distinct_counts(df: DataFrame, columns: list[str], approx: bool | None = Non
             )
             for c in columns
         ])
-        agg = df.groupBy(*[q(b) for b in by]).agg(arr.alias("s")) if by else df.agg(arr.alias("s"))
-        return agg.select(*[q(b) for b in by], F.inline("s"))
+        return df.groupBy(*keys).agg(arr.alias("s")).select(*keys, F.inline("s"))
     freq = value_frequency(df, columns, by=by)
-    return freq.groupBy(*[q(b) for b in by], "column").agg(
+    return freq.groupBy(*keys, "column").agg(
         F.count("value").cast("long").alias("nunique"),
         F.count(F.lit(1)).cast("long").alias("nunique_all"),
     )
 
 
-def table_counts(df: DataFrame) -> tuple[int, int]:
-    return df.count(), len(df.columns)
-
-
-def column_dtypes(df: DataFrame) -> list[tuple[str, str]]:
-    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-
-
 def stats_rows(stats_df: DataFrame) -> dict:
     """Collect a per-column stats frame (bounded by the number of columns) to a dict."""
     return {r["column"]: r.asDict() for r in stats_df.collect()}
@@ -320,7 +298,6 @@ def pandas_dtype_name(dt: T.DataType) -> str:
 
 
 __all__ = [
-    "QuantileMode", "EXACT", "quantile_expr", "adj_skew", "adj_kurt", "numeric_stats",
-    "value_frequency", "distinct_counts", "column_dtypes", "stats_rows", "pandas_dtype_name",
-    "dtype_of",
+    "exact_quantiles", "adj_skew", "adj_kurt", "numeric_stats", "numeric_quantiles",
+    "value_frequency", "distinct_counts", "stats_rows", "pandas_dtype_name", "dtype_of",
 ]

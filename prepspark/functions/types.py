@@ -76,12 +76,6 @@ def as_text(df: DataFrame, name: str, null_token: str | None = "nan") -> Column:
     return F.coalesce(s, F.lit(null_token))
 
 
-def normalize_nan(df: DataFrame) -> DataFrame:
-    """Map NaN to NULL in float/double columns (read-time normalisation)."""
-    cols = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
-            cols.append(F.when(F.isnan(q(f.name)), F.lit(None).cast(f.dataType)).otherwise(q(f.name)).alias(f.name))
-        else:
-            cols.append(q(f.name))
-    return df.select(*cols)
+def stripped(c: Column) -> Column:
+    """Text without white space (space, tab to carriage return) at its ends."""
+    return F.regexp_replace(c, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import DATE_RATE, best_rate_expr
 from ..functions.names import in_scale_agg
-from ..functions.stats import AUTO, QuantileMode, distinct_counts, moment_fields, numeric_stats, pandas_dtype_name, value_frequency
+from ..functions.stats import distinct_counts, moment_fields, numeric_stats, pandas_dtype_name, value_frequency
 from ..functions.types import as_text, clean_num, dtype_of, flat_columns, is_datetime_type, is_missing, is_numeric_type, numeric_columns, non_numeric_columns, q
 
 
@@ -41,7 +41,7 @@ def _scan_struct(df: DataFrame, name: str, pos: int, with_moments: bool = False)
     )
 
 
-def column_profile(df: DataFrame, text_len: int = 18, approx_distinct: bool | None = None, by=None,
+def column_profile(df: DataFrame, text_len: int = 18, approx_distinct: bool = False, by=None,
                    with_moments: bool = False) -> DataFrame:
     """One row per column: dtype, rows, nulls, missing_pct, nunique, date parse rate, detected_type.
 
@@ -110,14 +110,14 @@ def profile_missing(df: DataFrame) -> DataFrame:
     )
 
 
-def profile_unique(df: DataFrame, approx: bool | None = None) -> DataFrame:
+def profile_unique(df: DataFrame, approx: bool = False) -> DataFrame:
     """PR5: distinct non-null values per column."""
     return distinct_counts(df, flat_columns(df), approx=approx).select("column", "nunique")
 
 
-def describe(df: DataFrame, mode: QuantileMode = AUTO) -> DataFrame:
+def describe(df: DataFrame) -> DataFrame:
     """PR6: count/mean/std/min/25%/50%/75%/max per numeric column, NaN->0, rounded 4."""
-    st = numeric_stats(df, numeric_columns(df), mode=mode)
+    st = numeric_stats(df, numeric_columns(df))
     r = lambda c: F.round(F.coalesce(F.col(c), F.lit(0.0)), 4)
     return st.select(
         "column", F.col("n").cast("long").alias("count"), r("mean").alias("mean"), r("std").alias("std"),
@@ -132,10 +132,10 @@ def column_summary(df: DataFrame) -> DataFrame:
         "column", "detected_type", "missing_pct", F.col("nunique").alias("unique_values"))
 
 
-def profile_moments(df: DataFrame, mode: QuantileMode = AUTO) -> DataFrame:
+def profile_moments(df: DataFrame) -> DataFrame:
     """PR8 legacy profile: dtype, missing_pct, unique_count and, for numerics, mean/median/variance/skew."""
     prof = column_profile(df).select("column", "position", "dtype", "missing_pct", F.col("nunique").alias("unique_count"))
-    st = numeric_stats(df, numeric_columns(df), mode=mode).select(
+    st = numeric_stats(df, numeric_columns(df)).select(
         "column", "mean", F.col("q50").alias("median"), F.col("var").alias("variance"), "skew")
     return prof.join(st, "column", "left")
 
@@ -146,16 +146,16 @@ def skew_by_column(df: DataFrame) -> DataFrame:
     return st.select("column", F.round("skew", 3).alias("skew"), "kurt")
 
 
-def boxplot(df: DataFrame, limit_columns: int = 10, mode: QuantileMode = AUTO) -> DataFrame:
+def boxplot(df: DataFrame, limit_columns: int | None = None) -> DataFrame:
     """VZ2: min, q1, median, q3, max, mean, std for the first 10 numeric columns with >= 4 values."""
     cols = numeric_columns(df)[:limit_columns]
-    st = numeric_stats(df, cols, mode=mode)
+    st = numeric_stats(df, cols)
     return st.where(F.col("n") >= 4).select(
         "column", "min", F.col("q25").alias("q1"), F.col("q50").alias("median"), F.col("q75").alias("q3"),
         "max", "mean", "std")
 
 
-def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 10, limit_columns: int = 10) -> DataFrame:
+def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 10, limit_columns: int | None = None) -> DataFrame:
     """VZ1 (re-aimed): equal-width binned counts instead of shipping raw values.
 
     Edges come from one min/max job (a handful of numbers per column); the
@@ -183,7 +183,7 @@ def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 10, l
         (F.col("lo0") + (F.col("bin") + 1) * F.col("w")).alias("hi"), "cnt")
 
 
-def top_values(df: DataFrame, n: int = 15, limit_columns: int = 10) -> DataFrame:
+def top_values(df: DataFrame, n: int = 15, limit_columns: int | None = None) -> DataFrame:
     """VZ3: top-15 values per non-numeric column (first 10), missing counted as ``nan``.
 
     Ties are broken by value (Spark has no first-seen order).

@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.stats import AUTO, QuantileMode, numeric_stats, stats_rows
-from ..functions.types import as_text, clean_num, dtype_of, flat_columns, is_missing, non_numeric_columns, numeric_columns, q
+from ..functions.stats import numeric_stats, stats_rows
+from ..functions.types import as_text, clean_num, dtype_of, flat_columns, is_missing, non_numeric_columns, numeric_columns, q, stripped
 
 
-def iqr_fences(df: DataFrame, columns: list[str], mode: QuantileMode = AUTO) -> dict:
+def iqr_fences(df: DataFrame, columns: list[str]) -> dict:
     """Fit: ``{column: (q1, q3, lo, hi)}``; columns with iqr == 0 or no values get None."""
-    st = stats_rows(numeric_stats(df, columns, mode=mode))
+    st = stats_rows(numeric_stats(df, columns))
     out = {}
     for c in columns:
         r = st[c]
@@ -101,11 +101,11 @@ def validate(df: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 
 def normalize_categories(df: DataFrame, exclude=()) -> DataFrame:
-    """IS5: every non-numeric column -> ``lower(trim(as text))``, missing becoming ``nan``."""
+    """IS5: every non-numeric column -> lower case without white space at its ends, missing becoming ``nan``."""
     ex = set(exclude or ())
     targets = set(non_numeric_columns(df)) - ex
     return df.select(*[
-        F.lower(F.trim(as_text(df, c, "nan"))).alias(c) if c in targets else q(c) for c in df.columns
+        F.lower(stripped(as_text(df, c, "nan"))).alias(c) if c in targets else q(c) for c in df.columns
     ])
 
 
@@ -196,7 +196,7 @@ def fuzzy_categories(df: DataFrame, columns: list[str] | None = None, block: int
                            T.StructField("target", T.StringType())])
     if not cols:
         return spark.createDataFrame([], schema)
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.trim(as_text(df, c, None)).alias("value")) for c in cols])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), stripped(as_text(df, c, None)).alias("value")) for c in cols])
     dict_df = (df.select(F.inline(pairs)).where(F.col("value").isNotNull())
                .groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")))
     from ..session import cut_lineage

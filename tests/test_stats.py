@@ -5,7 +5,7 @@ import math
 import pandas as pd
 import pytest
 
-from prepspark.functions.stats import EXACT, distinct_counts, numeric_stats, stats_rows
+from prepspark.functions.stats import distinct_counts, exact_quantiles, numeric_stats, stats_rows
 
 
 def _frame(spark, values):
@@ -21,7 +21,7 @@ def _frame(spark, values):
     [-2.5, 7.25, 1e3, 4.0, 4.0, 8.5],
 ])
 def test_moments_match_pandas(spark, values):
-    st = stats_rows(numeric_stats(_frame(spark, values), ["x"], mode=EXACT))["x"]
+    st = stats_rows(numeric_stats(_frame(spark, values), ["x"]))["x"]
     s = pd.Series(values, dtype="float64")
     exp_skew, exp_kurt = s.skew(), s.kurt()
     for got, exp in ((st["skew"], exp_skew), (st["kurt"], exp_kurt)):
@@ -38,3 +38,22 @@ def test_distinct_counts_null_as_value(spark):
     df = spark.createDataFrame([("a", 1), ("a", None), (None, None)], "s string, i int")
     got = {r["column"]: (r["nunique"], r["nunique_all"]) for r in distinct_counts(df, ["s", "i"]).collect()}
     assert got == {"s": (1, 2), "i": (1, 2)}
+
+
+def test_exact_quantiles_with_brackets(spark, monkeypatch):
+    """Columns above the small-column limit go through sketch, count and widening: still numpy's answer."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from prepspark.functions import stats
+
+    monkeypatch.setattr(stats, "WHOLE_COLUMN", 100)
+    probs = [0.0, 0.01, 0.25, 1 / 3, 0.5, 0.99, 1.0]
+    df = spark.range(20_011).select((F.pmod(F.xxhash64("id"), F.lit(5000)) / 7.0).alias("x"), (F.col("id") % 3).cast("double").alias("y"))
+    for accuracy in (10_000, 10):
+        monkeypatch.setattr(stats, "SKETCH_ACCURACY", accuracy)
+        got = exact_quantiles(df, {"x": F.col("x"), "y": F.col("y"), "none": F.lit(None).cast("double")}, probs)
+        rows = df.toPandas()
+        for c in ("x", "y"):
+            assert got[c] == pytest.approx(np.quantile(rows[c], probs).tolist(), abs=1e-9)
+        assert got["none"] == [None] * len(probs)
