@@ -26,16 +26,16 @@ def _code(col):
 
 # ---- EN1-EN6 ------------------------------------------------------------------------
 
-@query("encode_label", src("part") + f"SELECT p_partkey, CAST({_code('p_brand')} AS INTEGER) AS p_brand FROM src")
+@query("encode_label", src("part") + f"SELECT * REPLACE (CAST({_code('p_brand')} AS INTEGER) AS p_brand) FROM src")
 def encode_label(spark, sf):
     df = load(spark, sf, "part")
-    return E.encode_label(df, "p_brand").select("p_partkey", "p_brand")
+    return E.encode_label(df, "p_brand")
 
 
-@query("encode_ordinal", src("orders_dirty") + f"SELECT o_orderkey, CAST({_code('o_orderpriority')} AS DOUBLE) AS o_orderpriority FROM src")
+@query("encode_ordinal", src("orders_dirty") + f"SELECT * REPLACE (CAST({_code('o_orderpriority')} AS DOUBLE) AS o_orderpriority) FROM src")
 def encode_ordinal(spark, sf):
     df = load(spark, sf, "orders_dirty")
-    return E.encode_ordinal(df, "o_orderpriority").select("o_orderkey", "o_orderpriority")
+    return E.encode_ordinal(df, "o_orderpriority")
 
 
 _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "nan"]
@@ -185,7 +185,7 @@ def bin_candidates(spark, sf):
 def _bin_sql(view, key, c, edges_sql, k_sql):
     return src(view) + f""", e AS ({edges_sql})
 SELECT {key}, CAST(CASE WHEN {c} IS NULL THEN -1 ELSE least(
-  (SELECT count(*) FROM (SELECT unnest(e.edges[2:]) AS edge) WHERE {c} + 1e-8 + 1e-5 * abs({c}) >= edge), {k_sql} - 1) END AS INTEGER) AS {c}_bin
+  (SELECT count(*) FROM (SELECT unnest(e.edges[2:]) AS edge) WHERE {c} >= edge), {k_sql} - 1) END AS INTEGER) AS {c}_bin
 FROM src, e"""
 
 
