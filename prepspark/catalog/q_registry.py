@@ -222,7 +222,9 @@ def train_test_split(spark, sf):
     return ML.split(df, "c_custkey", test=0.2)
 
 
-@query("train_test_split_stratified")
+@query("train_test_split_stratified", """SELECT c_custkey, c_mktsegment,
+  row_number() OVER (PARTITION BY coalesce(c_mktsegment, 'nan') ORDER BY ('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 12))::BIGINT, c_custkey)
+    <= floor(count(*) OVER (PARTITION BY coalesce(c_mktsegment, 'nan')) * CAST(0.2 AS DOUBLE) + 0.5) AS is_test FROM customer""")
 def train_test_split_stratified(spark, sf):
     df = load(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     return ML.split(df, "c_custkey", "c_mktsegment", 0.2, stratify=True)
@@ -290,7 +292,7 @@ def full_prep(spark, sf):
 def full_prep_search(spark, sf):
     df = load(spark, sf, "doc_quality")
     res = PL.run_prep(df, "quality", "classification", optimizer=True, key="doc_id", trees=150)
-    return RP.report_df(spark, res.reports["final"]).drop("timestamp")
+    return res.reports["final"].drop("timestamp")
 
 
 @query("basic_prep")
