@@ -90,7 +90,7 @@ def top_similar(spark, sf):
 @query("keep_latest", "SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 200")
 def keep_latest(spark, sf):
     ev = load(spark, sf, "events")
-    return ev.orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(200)
+    return RG.keep_latest(ev, ["ts", "event_id"], 200)
 
 
 def _hist_sql():
@@ -260,7 +260,7 @@ def target_last_q(spark, sf):
 def version_roundtrip(spark, sf):
     root = _scratch(spark, "versions")
     IO.save_version(load(spark, sf, "orders_dirty"), root, "run1", "After Missing")
-    assert IO.list_versions(root, "run1") == ["after_missing"]
+    assert IO.list_versions(spark, root, "run1") == ["after_missing"]
     return IO.load_version(spark, root, "run1", "after missing")
 
 
