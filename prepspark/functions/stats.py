@@ -28,7 +28,8 @@ DEFAULT_PROBS = (0.01, 0.25, 0.5, 0.75, 0.99)
 AGG_CHUNK = 48
 
 
-# Rank error of the sketch that brackets a quantile, and rows up to which the whole column is the bracket.
+# Rank error of the sketch that brackets a quantile, and the counted rows up to which one aggregation
+# buffer (a million values of 16 bytes) may hold a column instead.
 SKETCH_ACCURACY = 10_000
 WHOLE_COLUMN = 1_000_000
 
@@ -47,11 +48,8 @@ def _brackets(df: DataFrame, exprs: dict, probs: dict, margin: float) -> dict:
         row = df.agg(*aggs).first()
         for i, c in enumerate(chunk):
             n, lo, hi, qs = (row[f"{k}{i}"] for k in ("n", "lo", "hi", "q"))
-            if n <= WHOLE_COLUMN:
-                found[c] = (n, [(lo, hi)] * len(probs[c]))
-            else:
-                found[c] = (n, [(lo if p - margin <= 0 else float(qs[2 * k]), hi if p + margin >= 1 else float(qs[2 * k + 1]))
-                                for k, p in enumerate(probs[c])])
+            found[c] = (n, [(lo if p - margin <= 0 else float(qs[2 * k]), hi if p + margin >= 1 else float(qs[2 * k + 1]))
+                            for k, p in enumerate(probs[c])] if n else [])
     return found
 
 
@@ -64,12 +62,21 @@ def exact_quantiles(df: DataFrame, exprs: dict, probs) -> dict:
     neighbours of the quantile are picked by their rank.  Where the counts show
     that a bracket missed them, it is widened and counted again, so the answer
     is that of a full sort at any size; no buffer or task holds a column.
-    Small columns are their own bracket.  What reaches the driver is two
-    numbers per column and probability.
+    A table of at most :data:`WHOLE_COLUMN` counted rows is answered by one
+    aggregate, whose buffers that count bounds; the definition is the same.
+    What reaches the driver is two numbers per column and probability.
     """
     spark = df.sparkSession
     probs = {c: [float(p) for p in (probs[c] if isinstance(probs, dict) else probs)] for c in exprs}
     out = {c: [None] * len(probs[c]) for c in exprs}
+    if df.count() <= WHOLE_COLUMN:
+        names = list(exprs)
+        for start in range(0, len(names), AGG_CHUNK):
+            chunk = names[start:start + AGG_CHUNK]
+            row = df.agg(*[F.percentile(exprs[c], probs[c]).alias(f"q{i}") for i, c in enumerate(chunk)]).first()
+            for i, c in enumerate(chunk):
+                out[c] = [float(v) for v in row[f"q{i}"]] if row[f"q{i}"] is not None else out[c]
+        return out
     open_ = dict(exprs)
     margin = 4.0 / SKETCH_ACCURACY
     while open_:
@@ -84,9 +91,8 @@ def exact_quantiles(df: DataFrame, exprs: dict, probs) -> dict:
             break
         xs = [open_[c] for c, _, _ in keys]
         below = [0] * len(keys)
-        partial = [i for i, (c, _, _) in enumerate(keys) if found[c][0] > WHOLE_COLUMN]
-        for start in range(0, len(partial), 4 * AGG_CHUNK):
-            part = partial[start:start + 4 * AGG_CHUNK]
+        for start in range(0, len(keys), 4 * AGG_CHUNK):
+            part = range(start, min(len(keys), start + 4 * AGG_CHUNK))
             row = df.agg(*[F.coalesce(F.sum(F.when(xs[i] < F.lit(keys[i][1]), 1)), F.lit(0)).alias(f"b{i}") for i in part]).first()
             for i in part:
                 below[i] = row[f"b{i}"]
@@ -204,7 +210,10 @@ def numeric_stats(df: DataFrame, columns: list[str], quantiles: bool = True) ->
         part = df.agg(mom).select(F.inline("s"))
         out = part if out is None else out.unionByName(part)
     if quantiles:
-        out = out.join(F.broadcast(numeric_quantiles(df, columns)), "column", "left")  # a row per column
+        found = exact_quantiles(df, {c: clean_num(df, c) for c in columns}, DEFAULT_PROBS)
+        for k, name in enumerate(names):
+            values = F.create_map(*[x for c in columns for x in (F.lit(c), F.lit(found[c][k]).cast("double"))])
+            out = out.withColumn(name, F.element_at(values, F.col("column")))
     else:
         out = out.select("*", *[F.lit(None).cast("double").alias(n) for n in names])
     return out.select(*NUMERIC_STATS_SCHEMA)
