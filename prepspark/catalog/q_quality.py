@@ -130,20 +130,20 @@ SELECT "column", position,
        CASE WHEN numeric_kept THEN scal ELSE 'None' END AS scaling,
        CASE WHEN numeric_kept THEN outm ELSE 'None' END AS outlier_method,
        action,
-       CASE WHEN "column" = '{target}' THEN 'Target column; never modified'
-            WHEN action = 'Remove (Identifier)' THEN 'Column name suggests unique identifier'
-            WHEN action = 'Remove (Constant)' THEN 'All values are identical – zero variance'
-            WHEN action = 'Remove (>50% Missing)' THEN printf('%.1f%% values are missing', missing_pct)
-            WHEN action = 'Remove (High Cardinality)' THEN printf('Unique ratio %.2f ≈ row count; likely identifier/free text', {ratio})
-            WHEN enc = 'LabelEncoding' THEN 'Binary column → label encode (0/1)'
-            WHEN enc = 'OrdinalEncoding' THEN 'Ordinal pattern detected in name or values'
-            WHEN {cat} AND nunique >= 50 AND {ratio} > 0.15 THEN printf('High cardinality (%d unique) → binary hash reduces dimensionality', nunique)
-            WHEN enc = 'OneHotEncoding' THEN printf('Nominal categorical with %d unique values → one-hot', nunique)
-            WHEN enc = 'BinaryHashEncoding' THEN 'Moderate-high cardinality → binary hash'
-            WHEN enc = 'DateFeatureExtraction' THEN 'DateTime → extract year/month/day components'
-            WHEN numeric_kept AND abs(skew3) > 2 THEN 'Skewed numeric (skew=' || CAST(skew3 AS VARCHAR) || ') → ' || scal || ', binning candidate'
-            WHEN numeric_kept THEN 'Numeric feature → ' || scal
-            ELSE 'Useful feature' END AS reason,
+       CASE WHEN "column" = '{target}' THEN 'the target is left as it is'
+            WHEN action = 'Remove (Identifier)' THEN 'the name ends like a key's'
+            WHEN action = 'Remove (Constant)' THEN 'only one value occurs'
+            WHEN action = 'Remove (>50% Missing)' THEN printf('%.1f%% of the cells are empty', missing_pct)
+            WHEN action = 'Remove (High Cardinality)' THEN printf('%.2f distinct values per row: a key or free text', {ratio})
+            WHEN enc = 'LabelEncoding' THEN 'two values: codes 0 and 1'
+            WHEN enc = 'OrdinalEncoding' THEN 'the name or the values have an order'
+            WHEN {cat} AND nunique >= 50 AND {ratio} > 0.15 THEN printf('%d categories: bits of the code need fewer columns', nunique)
+            WHEN enc = 'OneHotEncoding' THEN printf('%d categories without an order: one column each', nunique)
+            WHEN enc = 'BinaryHashEncoding' THEN 'many categories: bits of the code'
+            WHEN enc = 'DateFeatureExtraction' THEN 'a date: year, month and day'
+            WHEN numeric_kept AND abs(skew3) > 2 THEN 'skewness ' || CAST(skew3 AS VARCHAR) || ': ' || scal || ', may be binned'
+            WHEN numeric_kept THEN 'a number: ' || scal
+            ELSE 'kept as it is' END AS reason,
        keeps AS keep
 FROM b"""
 
