@@ -131,7 +131,7 @@ SELECT "column", position,
        CASE WHEN numeric_kept THEN outm ELSE 'None' END AS outlier_method,
        action,
        CASE WHEN "column" = '{target}' THEN 'the target is left as it is'
-            WHEN action = 'Remove (Identifier)' THEN 'the name ends like a key's'
+            WHEN action = 'Remove (Identifier)' THEN 'the name is that of a key'
             WHEN action = 'Remove (Constant)' THEN 'only one value occurs'
             WHEN action = 'Remove (>50% Missing)' THEN printf('%.1f%% of the cells are empty', missing_pct)
             WHEN action = 'Remove (High Cardinality)' THEN printf('%.2f distinct values per row: a key or free text', {ratio})
