@@ -29,12 +29,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import query, table
+from .common import held, query, slices, table
 
 NONE = np.int32(2**31 - 1)
 MATRIX_BYTES = 192
 MATRIX_CELLS = 1 << 20
-CACHED_PIECES = 400_000
+CACHED_PIECES = 250_000
 CHUNK_CHARS = 1 << 20
 
 
@@ -78,12 +78,21 @@ class PairTable:
         return out
 
 
+def read_ranks(vocabulary: bytes) -> dict[bytes, int]:
+    """Token bytes -> rank, from a rank file."""
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines()) if a}
+
+
+def decode(tokens: dict[int, bytes], ids: bytes) -> bytes:
+    """The bytes that the ids stand for."""
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
 class Bpe:
-    """Encoder and decoder of one vocabulary, with a cache of pieces."""
+    """Encoder of one vocabulary, with a cache of pieces."""
 
     def __init__(self, vocabulary: bytes, pattern: str):
-        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines()) if a}
-        self.tokens = {r: t for t, r in self.ranks.items()}
+        self.ranks = read_ranks(vocabulary)
         self.first = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.pairs = PairTable(self.ranks)
         # \s of the rank files' library is the Unicode property, without the separators U+001C to U+001F
@@ -188,20 +197,10 @@ class Bpe:
                     yield b"".join(map(self.cache.__getitem__, pieces))
                 chunk, chars = [], 0
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-
-
-_OPEN: dict[bytes, Bpe] = {}
-
 
 def _bpe(vocabulary: bytes, pattern: str) -> Bpe:
     """The worker's encoder; kept between tasks."""
-    key = hashlib.sha256(vocabulary + pattern.encode()).digest()
-    if key not in _OPEN:
-        _OPEN.clear()
-        _OPEN[key] = Bpe(vocabulary, pattern)
-    return _OPEN[key]
+    return held(("bpe", hashlib.sha256(vocabulary + pattern.encode()).digest()), lambda: Bpe(vocabulary, pattern))
 
 
 def _shipped(df: DataFrame, path: str):
@@ -219,10 +218,10 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str
 
     def run(batches):
         bpe = _bpe(file.value, pattern)
-        for batch in batches:
-            ids = list(bpe.encode_batch(batch.column(1).to_pylist()))
+        for part in slices(batches):
+            ids = list(bpe.encode_batch(part.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                 [id_col, "n_tokens", "ids"],
             )
 
@@ -236,10 +235,10 @@ def decode_documents(encoded: DataFrame, vocabulary: str, pattern: str, id_col:
     source = encoded.select(id_col, "n_tokens", "ids")
 
     def run(batches):
-        bpe = _bpe(file.value, pattern)
-        for batch in batches:
-            out = [bpe.decode(x) for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [id_col, "n_tokens", "ids", "decoded"])
+        tokens = {r: t for t, r in read_ranks(file.value).items()}
+        for part in slices(batches):
+            out = [decode(tokens, x) for x in part.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], [id_col, "n_tokens", "ids", "decoded"])
 
     kind = source.schema[id_col].dataType.simpleString()
     return source.mapInArrow(run, f"`{id_col}` {kind}, n_tokens bigint, ids binary, decoded binary")

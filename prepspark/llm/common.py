@@ -64,6 +64,25 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict = {}
+
+
+def held(key, build: Callable):
+    """What a Python worker keeps between tasks (a model, a cache of words): one thing at a time, so
+    that a worker which serves several operators in turn holds the last one's only."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
+def slices(batches, rows: int = 256):
+    """Arrow batches in parts of few rows: only a part's texts are Python objects at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, however often it is used."""
     return F.transform(F.array(value), body)[0]

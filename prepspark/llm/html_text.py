@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import query, settle, table
+from .common import query, settle, slices, table
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title xmp noembed noframes".split())
@@ -293,7 +293,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     ).join(winners, "host", "left").select("id", "url", "html", "path")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts, used = [], []
             for html, path in zip(batch.column(2), batch.column(3).to_pylist()):
                 page = Page(html.as_py() or "")

@@ -32,12 +32,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import query, table
+from .common import held, query, slices, table
 
 GRAM_BITS = 15
 MIN_SHARE = 1e-3
-CACHED_WORDS = 300_000
-CELLS = 8_000_000
+CACHED_WORDS = 150_000
+CELLS = 3_000_000
+ROWS = 1024
 UNKNOWN = "und"
 
 #: First code points of script ranges, in order; a range ends where the next one starts.
@@ -197,7 +198,7 @@ def fit_languages(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "
     def run(batches):
         grams: dict[str, np.ndarray] = {}
         scripts: Counter = Counter()
-        for batch in batches:
+        for batch in slices(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 counts = Counter("".join(c for c in w.lower() if c.isalpha()) for w in _WORDS.findall(text))
                 counts.pop("", None)
@@ -244,9 +245,6 @@ def fit_languages(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "
     return LanguageModel(langs, logp, scripts, penalty)
 
 
-_OPEN: dict[int, LanguageModel] = {}
-
-
 def _ship(df: DataFrame, model: LanguageModel):
     """The model, broadcast: languages * 2 ** GRAM_BITS numbers."""
     return df.sparkSession.sparkContext.broadcast(pickle.dumps(LanguageModel(model.langs, model.logp, model.scripts, model.penalty)))
@@ -254,11 +252,7 @@ def _ship(df: DataFrame, model: LanguageModel):
 
 def _open(shipped) -> LanguageModel:
     """The worker's copy, with its cache of words."""
-    key = zlib.crc32(shipped.value)
-    if key not in _OPEN:
-        _OPEN.clear()
-        _OPEN[key] = pickle.loads(shipped.value)
-    return _OPEN[key]
+    return held(("language", zlib.crc32(shipped.value)), lambda: pickle.loads(shipped.value))
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -269,7 +263,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
 
     def run(batches):
         own = _open(shipped)
-        for batch in batches:
+        for batch in slices(batches, ROWS):
             found = own.label(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -290,7 +284,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text
 
     def run(batches):
         own = _open(shipped)
-        for batch in batches:
+        for batch in slices(batches, ROWS):
             found = own.label(batch.column(at).to_pylist())
             yield batch.filter(pa.array([x[0] != UNKNOWN and x[1] >= least for x in found], pa.bool_()))
 
