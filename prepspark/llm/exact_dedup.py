@@ -106,14 +106,14 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows of ``docs`` that stay, with all their columns.
 
     A row goes when its id and its text's hash are those of a row that is not kept; rows
-    without an id cannot be named and stay.  Texts are shuffled only where the list of
-    rows that go is larger than the session's broadcast threshold.
+    without an id cannot be named and stay.  The list of rows that go grows with the corpus,
+    so it is not broadcast; the documents are shuffled once.
     """
     found = exact_duplicates(docs, id_col, text_col, **options)
     gone = found.where("NOT kept").select(F.col(id_col).alias("__gone"), F.col("text_mark").alias("__mark"))
     gone = settle(gone.where("__gone IS NOT NULL").distinct(), "dedup-gone")
     same = (F.col(id_col) == F.col("__gone")) & (F.xxhash64(normalised(F.col(text_col))) == F.col("__mark"))
-    return docs.join(gone, same, "left_anti")
+    return docs.join(gone.hint("merge"), same, "left_anti")
 
 
 SQL = r"""

@@ -20,6 +20,9 @@ are linked where ``100 * |A & B| >= 75 * |A | B|``.
    fewer than half of the ``4 * m`` minima agree; at 0.75 that is four standard deviations off.
 6. Components by alternating stars; the smallest doc_id of a component names it.
 
+Tables that grow with the corpus are never broadcast, however small they are at the time: every
+join by node, id or bucket is a merge join at every size.
+
 Hot groups: no step gathers a bucket in a task.  Leaders are aggregated on the map side, the
 joins by bucket and by leader can be split by the engine, and neighbours come from a range
 partitioning that cuts large buckets.
@@ -40,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import query, settle, table
+from .common import held, query, settle, slices, table
 from .components import connected_components
 
 SHINGLE = 5
@@ -48,7 +51,7 @@ BANDS = 12
 #: Buckets of at most this many nodes are compared pair by pair in step 4.
 PAIRED = 16
 _U64 = np.uint64
-_CACHE: dict[bytes, int] = {}
+CACHED_WORDS = 200_000
 
 
 def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
@@ -59,13 +62,14 @@ def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, _U64)
-    if len(_CACHE) > 500_000:
-        _CACHE.clear()
+    known = held("words", dict)
+    if len(known) > CACHED_WORDS:
+        known.clear()
     ids = []
     for w in words:
-        h = _CACHE.get(w)
+        h = known.get(w)
         if h is None:
-            h = _CACHE[w] = xxhash.xxh3_64_intdigest(w)
+            h = known[w] = xxhash.xxh3_64_intdigest(w)
         ids.append(h)
     h = np.array(ids, _U64)
     n = max(1, len(h) - width + 1)
@@ -95,7 +99,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, count: int) -> DataF
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sizes, nodes, sigs = [], [], []
             for text in batch.column(1):
                 s = shingle_set(text.as_py())
@@ -126,7 +130,7 @@ def tables(nodes: DataFrame, m: int) -> DataFrame:
     met = firsts.join(shared, ["i", "u"], "left_semi").groupBy("node").agg(F.collect_set("i").alias("own"))
     i, j = F.col("i"), F.col("j")
     rows = (
-        met.join(nodes.select("node", "sig"), "node")
+        met.join(nodes.select("node", "sig").hint("merge"), "node")
         .select("node", "sig", F.explode("own").alias("i"))
         .select("node", "sig", "i", F.explode(F.array(*map(F.lit, range(m)))).alias("j"))
         .select(
@@ -166,7 +170,7 @@ def _neighbours(rows: DataFrame) -> DataFrame:
 
 def _alike(pairs: DataFrame, nodes: DataFrame, count: int, least: float = 0.5) -> DataFrame:
     """Pairs of which at least the share ``least`` of the minima agree."""
-    sig = nodes.select("node", "sig")
+    sig = nodes.select("node", "sig").hint("merge")
     both = pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("s")), "a").join(
         sig.select(F.col("node").alias("b"), F.col("sig").alias("t")), "b"
     )
@@ -188,12 +192,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets are similar enough."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("x"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("y"))
-    left = left.join(pairs.select("a").distinct(), "a", "left_semi")
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
+    left = left.join(pairs.select("a").distinct().hint("merge"), "a", "left_semi")
+    both = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a").select("a", "b", "x", "y")
 
     def run(batches):
         known: tuple[bytes, np.ndarray] = (b"", np.empty(0, _U64))
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for a, x, y in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
                 if a != known[0]:
@@ -212,10 +216,10 @@ def _texts(docs: DataFrame, rows: DataFrame, wanted: DataFrame, id_col: str, tex
     first = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("id").alias("id"), F.min("n_shingles").alias("n"))
     first = settle(first.select("id", "node"), "near-wanted")
     source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"))
-    found = source.join(first, F.col("__id").eqNullSafe(F.col("id"))).select("node", "text")
+    found = source.join(first.hint("merge"), F.col("__id").eqNullSafe(F.col("id"))).select("node", "text")
 
     def run(batches):  # an id may stand on several texts: only the node's own stays
-        for batch in batches:
+        for batch in slices(batches):
             keep = [
                 hashlib.blake2b(shingle_set(t.as_py()).tobytes(), digest_size=16).digest() == n
                 for n, t in zip(batch.column(0).to_pylist(), batch.column(1))
@@ -247,7 +251,7 @@ def near_duplicates(
     def by_root(frame: DataFrame, *names: str) -> DataFrame:
         for name in names:
             r = roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
-            frame = frame.join(r, name, "left").withColumn(f"{name}_root", F.coalesce(f"{name}_root", name))
+            frame = frame.join(r.hint("merge"), name, "left").withColumn(f"{name}_root", F.coalesce(f"{name}_root", name))
         return frame
 
     def apart(frame: DataFrame) -> DataFrame:
@@ -293,7 +297,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     row stays keeps all its rows; rows without an id stay."""
     found = near_duplicates(docs, id_col, text_col, **options).where(F.col(id_col).isNotNull())
     gone = found.groupBy(F.col(id_col).alias("__gone")).agg(F.max("kept").alias("k")).where("NOT k").select("__gone")
-    return docs.join(settle(gone, "near-gone"), F.col(id_col) == F.col("__gone"), "left_anti")
+    return docs.join(settle(gone, "near-gone").hint("merge"), F.col(id_col) == F.col("__gone"), "left_anti")
 
 
 SQL = r"""

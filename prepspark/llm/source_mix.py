@@ -203,7 +203,7 @@ def mix_documents(
     )
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0))
     same = F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source")) & (size == F.col("__size"))
-    picked = docs.join(found, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    picked = docs.join(found.hint("merge"), same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     return picked.select(*docs.columns)
 
 
