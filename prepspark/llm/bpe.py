@@ -29,13 +29,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, query, slices, table
+from .common import held, query, releasing, slices, table
 
 NONE = np.int32(2**31 - 1)
 MATRIX_BYTES = 192
-MATRIX_CELLS = 1 << 20
-CACHED_PIECES = 250_000
-CHUNK_CHARS = 1 << 20
+MATRIX_CELLS = 1 << 17
+CACHED_PIECES = 120_000
+CHUNK_CHARS = 1 << 18
 
 
 class PairTable:
@@ -226,7 +226,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str
             )
 
     kind = source.schema[id_col].dataType.simpleString()
-    return source.mapInArrow(run, f"`{id_col}` {kind}, n_tokens bigint, ids binary")
+    return source.mapInArrow(releasing(run), f"`{id_col}` {kind}, n_tokens bigint, ids binary")
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id") -> DataFrame:

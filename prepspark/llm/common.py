@@ -68,14 +68,26 @@ _HELD: dict = {}
 
 
 def held(key, build: Callable):
-    """What a Python worker keeps between tasks (a model, a cache of words): one thing at a time, so
-    that a worker which serves several operators in turn holds the last one's only."""
+    """What a Python worker keeps while a task runs (a model, a cache of words)."""
     if key not in _HELD:
         _HELD.clear()
         _HELD[key] = build()
     return _HELD[key]
 
 
+def releasing(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``; what its worker held goes when the task ends, since idle workers of an
+    executor stay and their memory would add up."""
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _HELD.clear()
+
+    return task
+
+
 def slices(batches, rows: int = 256):
     """Arrow batches in parts of few rows: only a part's texts are Python objects at a time."""
     for batch in batches:

@@ -32,13 +32,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, query, slices, table
+from .common import held, query, releasing, slices, table
 
 GRAM_BITS = 15
 MIN_SHARE = 1e-3
-CACHED_WORDS = 150_000
-CELLS = 3_000_000
-ROWS = 1024
+CACHED_WORDS = 100_000
+CELLS = 2_000_000
+ROWS = 512
 UNKNOWN = "und"
 
 #: First code points of script ranges, in order; a range ends where the next one starts.
@@ -274,7 +274,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
             )
 
     kind = source.schema[id_col].dataType.simpleString()
-    return source.mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>")
+    return source.mapInArrow(releasing(run), f"`{id_col}` {kind}, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>")
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text", least: float = 0.0) -> DataFrame:
@@ -288,7 +288,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text
             found = own.label(batch.column(at).to_pylist())
             yield batch.filter(pa.array([x[0] != UNKNOWN and x[1] >= least for x in found], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)
 
 
 def held_out(id_col: Column) -> Column:

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import held, query, settle, slices, table
+from .common import held, query, releasing, settle, slices, table
 from .components import connected_components
 
 SHINGLE = 5
@@ -112,7 +112,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, count: int) -> DataF
             )
 
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"id {kind}, n_shingles bigint, node binary, sig binary")
+    return source.mapInArrow(releasing(run), f"id {kind}, n_shingles bigint, node binary, sig binary")
 
 
 def _pair(sig: str, k) -> F.Column:
@@ -208,7 +208,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(releasing(run), "a binary, b binary")
 
 
 def _texts(docs: DataFrame, rows: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -226,7 +226,7 @@ def _texts(docs: DataFrame, rows: DataFrame, wanted: DataFrame, id_col: str, tex
             ]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return found.mapInArrow(run, "node binary, text string")
+    return found.mapInArrow(releasing(run), "node binary, text string")
 
 
 def near_duplicates(
