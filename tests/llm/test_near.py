@@ -94,3 +94,33 @@ def test_components_of_paths_and_loops(spark):
     roots = {r.node: r.root for r in found.collect()}
     assert roots == {**{i: 1 for i in range(1, 41)}, **{i: 50 for i in (50, 51, 52)}, 70: 70, 71: 70}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def template(seed=5):
+    """Texts that share four fifths of their words and stay apart, each with a chain of two edited copies."""
+    random.seed(seed)
+    word = lambda: "".join(random.choice("abcdefgh") for _ in range(6))
+    shared = [word() for _ in range(200)]
+    rows = []
+    for _ in range(70):
+        own = [word() for _ in range(50)]
+        for _ in range(3):
+            rows.append((len(rows), " ".join(shared + own)))
+            at = random.randrange(30)
+            own = own[:at] + [word() for _ in range(18)] + own[at + 18 :]
+    random.shuffle(rows)
+    return rows
+
+
+def test_large_bucket_leaves_no_pair_out(spark):
+    rows = template()
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates(frame).collect()
+    assert sorted(str((r.doc_id, r.n_shingles, r.component_id)) for r in got) == brute(rows)
+    # With one band the bucket of the shared minima cannot be split: what meets in it is what has equal minima.
+    sigs = {key: signature(shingle_set(text), 4) for key, text in rows}
+    hot = max(set(sigs.values()), key=list(sigs.values()).count)
+    inside = [(key, text) for key, text in rows if sigs[key] == hot]
+    assert len(inside) > 64
+    got = near_duplicates(spark.createDataFrame(inside, "doc_id long, text string"), bands=1).collect()
+    assert sorted(str((r.doc_id, r.n_shingles, r.component_id)) for r in got) == brute(inside)
