@@ -1,9 +1,11 @@
 """Secret scan: a random forest removes false positives (DataFrame functions and Spark ML in the
 JVM only).
 
-1. Candidates are words that hold a run of ``MIN_LENGTH`` or more token characters with a digit
-   or a change of letter case in it, or a known prefix.  Each keeps its neighbours: two words
-   before, one after.
+1. Candidates are all places of a text with a run of ``MIN_LENGTH`` or more token characters with
+   a digit or a change of letter case in it, or a known prefix, and runs of ``MIN_ASSIGNED`` or more
+   characters of any kind that a key word and an assignment mark precede.  A word may hold
+   many.  Each keeps its neighbours: two words before (only the first of a word), one after, and up to ``NEAR``
+   characters of its word on both sides, which end at the candidates next to it.
 2. Features: length and length class, shares of character classes, distinct characters, changes
    of class between neighbours (letter to digit, case), runs of one class, coverage by dictionary
    words, signs of a test or sample path in the source, key words and assignment marks in the
@@ -30,11 +32,22 @@ from pyspark.sql import functions as F
 from .common import BLANK, query, settle, table
 
 MIN_LENGTH = 16
+MIN_ASSIGNED = 4
+NEAR = 64
 TOKEN = r"[A-Za-z0-9+/_\-=.~]"
 CANDIDATE = (
     rf"(?:(?=[A-Za-z0-9+/_\-=.~]*(?:[0-9]|[a-z][A-Z])){TOKEN}{{{MIN_LENGTH},}})"
     r"|AKIA[0-9A-Z]{12,}|gh[pousr]_[A-Za-z0-9]{10,}|sk_(?:live|test)_|xox[abpr]-|eyJ[A-Za-z0-9_\-]{8,}|AIza[0-9A-Za-z_\-]{20,}"
 )
+#: What a key word and an assignment mark precede; lookbehinds need bounds.
+#: The mark is looked for first: few places have one, and the long lookbehind is dear.
+ASSIGNED = (
+    r"(?<![A-Za-z0-9])(?<=[:=]>? ?[\"'`]?)"
+    r"(?<=(?i:secret|token|passw|passwd|password|passphrase|pwd|key|auth|credential|credentials)[A-Za-z0-9_\-]{0,12}[\"'`]? ?[:=]{1,2}>? ?[\"'`]?)"
+    rf"[A-Za-z0-9+/_\-.~!@#$%^*?][A-Za-z0-9+/_\-=.~!@#$%^*?]{{{MIN_ASSIGNED - 1},}}"
+)
+#: Stand around the candidates of a text; texts do not keep them.
+OPEN, CLOSE = "\x01", "\x02"
 #: Words that show that a token is spelled, not drawn.
 DICTIONARY = (
     "password passwd secret token example sample test dummy changeme your insert here placeholder default user admin name "
@@ -48,19 +61,37 @@ SAMPLE = r"(?i)(test|example|sample|doc|mock|fixture|demo|dummy)"
 
 
 def candidates(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """(id, source, position, token, before, after) of the candidate words of whole texts."""
-    text = F.trim(F.regexp_replace(F.coalesce(F.col(text_col).cast("string"), F.lit("")), BLANK, " "))
+    """(id, source, position, place, token, lead, word, before, after) of the candidates of whole texts;
+    ``place`` counts them within their word."""
+    text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), OPEN + CLOSE, "\x03\x03")
+    text = F.trim(F.regexp_replace(text, BLANK, " "))
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), text.alias("text"))
-    rows = rows.where(F.col("text").rlike(CANDIDATE)).select("id", "source", F.split("text", " ").alias("words"))
-    at = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: (F.length(F.get("words", i)) >= 10) & F.get("words", i).rlike(CANDIDATE))
+    either = f"{ASSIGNED}|{CANDIDATE}"
+    rows = rows.where(F.col("text").rlike(either)).withColumn("text", F.regexp_replace("text", f"({either})", f"{OPEN}$1{CLOSE}"))
+    rows = rows.select("id", "source", F.split("text", " ").alias("words"))
+    at = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.contains(F.get("words", i), F.lit(OPEN)))
     rows = rows.withColumn("position", F.explode(at))
-    word = F.get("words", F.col("position"))
-    before = F.concat_ws(" ", F.get("words", F.col("position") - 2), F.get("words", F.col("position") - 1))
-    return rows.select(
-        "id", "source", "position", word.alias("word"),
-        F.regexp_extract(word, CANDIDATE, 0).alias("token"),
-        before.alias("before"), F.coalesce(F.get("words", F.col("position") + 1), F.lit("")).alias("after"),
+    plain = lambda word: F.translate(word, OPEN + CLOSE, "")
+    before = plain(F.concat_ws(" ", F.get("words", F.col("position") - 2), F.get("words", F.col("position") - 1)))
+    after = plain(F.coalesce(F.get("words", F.col("position") + 1), F.lit("")))
+    # a part is what stands before the first candidate, or a candidate and what follows it
+    rows = rows.select("id", "source", "position", before.alias("before"), after.alias("after"), F.split(F.get("words", F.col("position")), OPEN).alias("parts"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(1), F.size("parts") - 1)).alias("place"))
+    part, last = F.get("parts", F.col("place")), F.get("parts", F.col("place") - 1)
+    token = F.substring_index(part, CLOSE, 1)
+    lead = F.right(F.substring_index(last, CLOSE, -1), F.lit(NEAR))
+    # name=value is one run of token characters: the name leads where the value is a candidate itself
+    value = F.regexp_extract(token, "^[^=]*[A-Za-z0-9_]=(.+)$", 1)
+    named = value.rlike(f"^(?:{CANDIDATE})$") | F.concat(lead, token).rlike(KEY_WORDS + r"[A-Za-z0-9_\-]{0,12}=[^=]{" + str(MIN_ASSIGNED) + ",}")
+    rows = rows.select(
+        "id", "source", "position", "place", "after", F.when(F.col("place") == 1, F.col("before")).otherwise("").alias("before"),
+        token.alias("run"), F.when(named, value).otherwise("").alias("value"), lead.alias("lead"), F.left(F.substring_index(part, CLOSE, -1), F.lit(NEAR)).alias("tail"),
     )
+    cut = F.col("value") != ""
+    token = F.when(cut, F.col("value")).otherwise(F.col("run"))
+    lead = F.when(cut, F.concat("lead", F.expr("left(run, length(run) - length(value))"))).otherwise(F.col("lead"))
+    rows = rows.select("id", "source", "position", "place", token.alias("token"), lead.alias("lead"), "tail", "before", "after")
+    return rows.withColumn("word", F.concat("lead", "token", "tail")).drop("tail")
 
 
 def _share(column: Column, pattern: str, length: Column) -> Column:
@@ -72,11 +103,11 @@ def _flag(test: Column) -> Column:
 
 
 def feature_columns() -> dict[str, Column]:
-    """Features of (``token``, ``word``, ``before``, ``after``, ``source``)."""
+    """Features of (``token``, ``lead``, ``word``, ``before``, ``after``, ``source``)."""
     t, word, before = F.col("token"), F.col("word"), F.col("before")
     n = F.greatest(F.length(t), F.lit(1))
     spelled = F.length(F.regexp_replace(F.lower(t), "(" + "|".join(sorted((w for w in DICTIONARY if len(w) > 2), key=len, reverse=True)) + ")", ""))
-    lead = F.concat(before, F.lit(" "), F.expr("substring(word, 1, greatest(instr(word, token) - 1, 0))"))
+    lead = F.concat(before, F.lit(" "), F.col("lead"))
     return {
         "length": F.least(n, F.lit(200)).cast("double"),
         "length_class": F.least(F.floor(F.log2(n.cast("double"))), F.lit(10)).cast("double"),
@@ -117,6 +148,8 @@ def labelled_findings(spark: SparkSession, rows: int = 6_000) -> DataFrame:
     drawn = {
         0: F.substring(h, 1, 40), 1: F.substring(h, 1, 32), 2: F.substr(b64, F.lit(1), length), 3: F.concat(F.lit("AKIA"), F.upper(F.substring(h, 1, 16))),
         4: F.concat(F.lit("ghp_"), F.substring(F.regexp_replace(b64, "[^A-Za-z0-9]", "x"), 1, 36)), 5: F.concat(F.lit("sk_live_"), F.substring(h, 1, 24)),
+        6: F.concat(F.initcap(F.regexp_replace(F.substring(b64, 1, 4), "[^A-Za-z0-9]", "r")), F.substring(h, 1, 2), F.regexp_replace(F.substring(b64, 9, 5), "[^A-Za-z0-9]", "9")),
+        7: F.translate(F.substring(h, 1, 32), "0123456789", "ghijklmnop"),
     }
     part = lambda k: pick(DICTIONARY[:40], k)
     false = {
@@ -128,27 +161,30 @@ def labelled_findings(spark: SparkSession, rows: int = 6_000) -> DataFrame:
         6: (pick(["your_secret_token_here1", "xxxxxxxxxxxxxxxxxxxx1", "example-password-123456", "changeme_changeme_1", "00000000000000000000", "1234567890123456"], 3), names),
         7: (F.concat(F.initcap(part(3)), F.initcap(part(4)), F.initcap(part(5)), F.initcap(part(6))), pick(["class ", "new ", "a ", "token "], 2)),
         8: (F.substring(h, 1, 32), pick(["md5 ", "etag: ", "hash "], 2)), 9: (F.concat(part(3), F.lit("."), part(4), F.lit("2024@mail.example.com")), pick(["to ", "from ", "by "], 2)),
+        10: (pick(["required", "null", "none", "string", "true", "false", "value", "optional", "missing", "invalid", "expired", "default", "change", "please", "enter"] + DICTIONARY[:40], 3), names),
     }
-    base = spark.range(rows).withColumn("kind", F.pmod(F.xxhash64("id", F.lit(0)), F.lit(16)).cast("int"))
+    base = spark.range(rows).withColumn("kind", F.pmod(F.xxhash64("id", F.lit(0)), F.lit(19)).cast("int"))
     token = F.lit("")
     before = names
     for k, value in drawn.items():
         token = F.when(F.col("kind") == k, value).otherwise(token)
     for k, (value, words) in false.items():
-        token = F.when(F.col("kind") == 6 + k, value).otherwise(token)
-        before = F.when(F.col("kind") == 6 + k, words).otherwise(before)
+        token = F.when(F.col("kind") == len(drawn) + k, value).otherwise(token)
+        before = F.when(F.col("kind") == len(drawn) + k, words).otherwise(before)
     quoted = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(2)) == 0
     mark = F.when(quoted, F.lit('"')).otherwise(F.lit(""))
     source = pick(["src", "src/main", "config", "tests", "docs/example", "web"], 8)
     made = base.select(
         F.col("kind").alias("kind"), token.alias("token"), F.concat(mark, token, mark).alias("word"), F.trim(before).alias("before"),
-        pick(["", "and", "in", "the"], 6).alias("after"), F.when(F.col("kind") < 6, pick(["src", "web", "config", "app"], 8)).otherwise(source).alias("source"),
+        pick(["", "and", "in", "the"], 6).alias("after"), F.when(F.col("kind") < len(drawn), pick(["src", "web", "config", "app"], 8)).otherwise(source).alias("source"),
     )
-    return made.select("token", "word", "before", "after", "source", (F.col("kind") < 6).cast("double").alias("label"))
+    return made.select("token", "word", "before", "after", "source", (F.col("kind") < len(drawn)).cast("double").alias("label"))
 
 
 def _assembled(rows: DataFrame) -> DataFrame:
     features = feature_columns()
+    if "lead" not in rows.columns:
+        rows = rows.withColumn("lead", F.expr("substring(word, 1, greatest(instr(word, token) - 1, 0))"))
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep").transform(rows.withColumns(features))
 
 
@@ -166,7 +202,7 @@ def scan_secrets(
     candidates), ``secrets`` (position in words, SHA-256 of the token, length, score)."""
     model = model or fit_secrets(labelled_findings(docs.sparkSession))
     rows = settle(candidates(docs, id_col, text_col, source_col).distinct(), "secret-candidates")
-    scored = model.transform(_assembled(rows)).select("id", "position", "token", vector_to_array("probability").alias("p"))
+    scored = model.transform(_assembled(rows)).select("id", "position", "place", "token", vector_to_array("probability").alias("p"))
     scored = settle(scored, "secret-scores").withColumn("score", F.element_at("p", 2))
     secret = F.struct("position", F.sha2("token", 256).alias("token_sha256"), F.length("token").alias("length"), "score")
     found = scored.groupBy("id").agg(

@@ -78,3 +78,19 @@ def test_secret_odd_rows(spark, odd, empty, secret_model):
     assert found.count() == odd.count() and found.agg({"n_secrets": "sum"}).first()[0] == 0
     assert scan_secrets(empty, secret_model).count() == 0
     assert candidates(empty, "doc_id", "text", "source").count() == 0
+
+
+def test_all_tokens_of_a_word(spark, secret_model):
+    key = "ghp_16C7e42F292c6912E7710c838347Ae178B4a"
+    rows = [
+        (1, '{"id":"550e8400-e29b-41d4-a716-446655440000","token":"%s"}' % key),
+        (2, "a=550e8400-e29b-41d4-a716-446655440000;secret=24be64439e3e49cf46b2d7c90f3602a3d0b907ff"),
+        (3, "password = Tr0ub4dor3"),
+        (4, "the api_key=qhzkvwjxmtplrbncsgdfyhqkzwvxjmtp here"),
+    ]
+    docs = spark.createDataFrame([(*r, "src") for r in rows], "doc_id long, text string, source string")
+    made = {(r.doc_id, r.place): r.token for r in candidates(docs, "doc_id", "text", "source").withColumnRenamed("id", "doc_id").collect()}
+    assert made[1, 2] == key and made[2, 2].startswith("24be64") and made[3, 1] == "Tr0ub4dor3" and made[4, 1].startswith("qhzk")
+    found = {r.doc_id: r for r in scan_secrets(docs, secret_model).collect()}
+    assert [(found[i].n_candidates, found[i].n_secrets) for i in range(1, 5)] == [(2, 1), (2, 1), (1, 1), (1, 1)]
+    assert found[1].secrets[0].length == len(key)
