@@ -10,7 +10,10 @@
    own best one.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments are left out by tag, role and class words, wherever they stand.  White space in a
+comments are left out by tag, role and class words, wherever they stand.  Class and id words are
+evidence only: an element goes by them if it holds less than half of the page's text
+outside links, and ids of headings, ids of sections made from their titles, and words after with, has, no or without,
+say nothing.  White space in a
 block becomes one space and blocks are joined by a line feed; nothing else is dropped.
 Broken pages are read as browsers do: an open paragraph ends where the next block starts,
 stray end tags are ignored, an unfinished tag at the end is dropped.
@@ -44,7 +47,7 @@ HOLDER = frozenset(
     "fieldset form header footer nav aside menu dialog hgroup head".split()
 )
 BLOCK = LEAF | HOLDER
-DROPPED_TAGS = frozenset("head nav footer aside form menu dialog button select option svg math object audio video canvas datalist".split())
+DROPPED_TAGS = frozenset("head nav footer aside form menu dialog button select option svg object audio video canvas datalist".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 #: Words of a class or id that mark something beside the article.
 DROPPED_WORDS = frozenset(
@@ -79,14 +82,47 @@ def _tag_end(html: str, at: int) -> int:
         at = close + 1 if close >= 0 else m.end()
 
 
+#: Share of a container's own text that the containers beside it hold at least where their parent is taken.
+BESIDE = 0.1
+#: Words that turn the next word of a class into a statement on what else the page has.
+COMPOUND = frozenset("with has no without".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_TITLE = re.compile(r"\s*<h[1-6]\b[^>]*>(.*?)</h[1-6]", re.I | re.S)
+_TAG = re.compile(r"<[^>]*>")
+
+
+def _slug(text: str) -> str:
+    return "-".join(re.findall(r"\w+", _TAG.sub("", text).lower()))
+
+
+def _marks(tag: str, named: str, ident: str, html: str, at: int) -> set[str]:
+    """Words of class and id that say what the element itself is; ``at``: where its content starts."""
+    if tag == "section" and "-" in ident and (title := _TITLE.match(html, at)) and _slug(title.group(1)) == _slug(ident):
+        ident = ""  # made from the title
+    words: set[str] = set()
+    for name in [*named.split(), *([] if tag in HEADINGS else ident.split())]:
+        parts = [w.lower() for w in _WORD.findall(name)]
+        words.update(w for i, w in enumerate(parts) if not COMPOUND.intersection(parts[:i]))
+    return words
+
+
 class Page:
     """Blocks (node, text, characters in links) of a page; a node is a generalised path."""
 
     def __init__(self, html: str):
         self.parent, self.label = [0], [""]
         self.child: dict[tuple[int, str], int] = {}
-        self.blocks: list[tuple[int, str, int]] = []
-        self._read(html)
+        self.spared: set[int] = set()
+        while True:
+            self.blocks: list[tuple[int, str, int]] = []
+            self.marked: dict[int, int] = {}
+            self.articles = False
+            self._read(html)
+            total = sum(len(line) - links for _, line, links in self.blocks) + sum(self.marked.values())
+            most = max(self.marked, key=lambda i: (self.marked[i], -i), default=-1)
+            if most < 0 or self.articles or not 0 < total <= 2 * self.marked[most]:
+                break
+            self.spared.add(most)
 
     def node(self, parent: int, label: str) -> int:
         key = (parent, label)
@@ -113,9 +149,10 @@ class Page:
         return node
 
     def _read(self, html: str) -> None:
-        stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # tag, node, dropped, in article
+        stack: list[tuple[str, int, str, bool]] = [("", 0, "", False)]  # tag, node, why dropped, in article
         text: list[str] = []
         links = depth = at = 0
+        mark = -1  # offset of the open element that goes by its words alone
 
         def flush():
             nonlocal links
@@ -123,6 +160,7 @@ class Page:
                 line = " ".join(unescape("".join(text)).split())
                 if line:
                     self.blocks.append((stack[-1][1], line, min(links, len(line))))
+                    self.articles = self.articles or stack[-1][3]
                 text.clear()
             links = 0
 
@@ -139,6 +177,8 @@ class Page:
             if piece and not stack[-1][2]:
                 text.append(piece)
                 links += len(piece) if depth else 0
+            elif piece and stack[-1][2] == "words" and not depth:
+                self.marked[mark] = self.marked.get(mark, 0) + len(" ".join(piece.split()))
             if start < 0:
                 break
             if html.startswith("<!--", start):
@@ -195,22 +235,25 @@ class Page:
             _, node, dropped, inside = stack[-1]
             attributes = {a.lower(): b or c or d for a, b, c, d in _ATTRIBUTE.findall(html, m.end(), end)} if end > m.end() else {}
             named = attributes.get("class", "")
-            if not dropped:
-                words = {w.lower() for w in _WORD.findall(f"{named} {attributes.get('id', '')}")}
+            if not dropped or dropped == "words":
+                words = _marks(tag, named, attributes.get("id", ""), html, at)
                 style = attributes.get("style", "").replace(" ", "").lower()
-                dropped = (
+                surely = (
                     tag in DROPPED_TAGS
                     or tag == "header" and not inside
-                    or bool(words & DROPPED_WORDS) and tag not in ("html", "body", "article", "main")
                     or tag == "article" and bool(words & {"comment", "comments", "reply", "ad", "advert", "sponsored", "related"})
                     or attributes.get("role", "").lower() in DROPPED_ROLES
                     or "hidden" in attributes
                     or attributes.get("aria-hidden", "").lower() == "true"
                     or "display:none" in style
-                    or "header" in words and not inside and tag not in ("html", "body", "article", "main")
                 )
-                if dropped and tag not in BLOCK:
+                by_words = tag not in ("html", "body", "article", "main") and (bool(words & DROPPED_WORDS) or "header" in words and not inside)
+                if not dropped and (surely or by_words and start not in self.spared) and tag not in BLOCK:
                     text.append(" ")
+                if surely:
+                    dropped = "surely"
+                elif not dropped and by_words and start not in self.spared:
+                    dropped, mark = "words", start
             if tag in HOLDER:
                 classes = sorted(set(_DIGITS.sub("N", named).replace(">", "_").split()))
                 node = self.node(node, ".".join([tag, *classes]))
@@ -238,6 +281,17 @@ class Page:
             return outer
         while self.parent[node] in direct and self.label[self.parent[node]].split(".")[0] not in ("", "html", "body"):
             node = self.parent[node]
+        # sibling containers with text of their own belong to the article
+        worth: dict[int, int] = defaultdict(int)
+        for n, line, links in self.blocks:
+            while n:
+                worth[n] += len(line) - links
+                n = self.parent[n]
+        up = self.parent[node]
+        while self.label[up].split(".")[0] not in ("", "html", "body"):
+            if worth[up] >= (1 + BESIDE) * worth[node]:
+                node = up
+            up = self.parent[up]
         return node
 
     def text(self, top: int) -> str:

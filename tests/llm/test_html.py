@@ -54,3 +54,18 @@ def test_odd_rows(spark):
     assert found == sorted([("1", None, "", 0), ("None", None, "a", 1), ("2", "x", "", 0), ("2", "x", "", 0), ("3", "http://h/", long, len(long))], key=str) or len(found) == 5
     assert dict((k, t) for k, _, t, _ in found)["3"] == long
     assert extract_text(frame.where("false")).count() == 0
+
+
+def test_words_are_evidence_only():
+    body = "<p>A long enough text of the article itself.</p>"
+    for outer in ("content with-sidebar", "site has-menu", "sidebar-layout"):
+        html = f"<body><div class='{outer}'><div class='post'>{body}</div><div class='sidebar'><p>beside</p></div></div></body>"
+        assert text_of(html) == "A long enough text of the article itself."
+    html = f"<article>{body}<h2 id='related-work'>Related work</h2><section id='search-and-rescue'><h2>Search and rescue</h2><p>x<math><mi>y</mi></math></p></section></article>"
+    assert text_of(html) == "A long enough text of the article itself.\nRelated work\nSearch and rescue\nxy"
+    assert text_of(f"<article>{body}</article><div class='comments'><p>{'many words ' * 50}</p></div>") == "A long enough text of the article itself."
+
+
+def test_containers_beside_the_best_one():
+    html = "<body><div class='page'><div class='a'><div class='b'><p>{}</p></div></div><div class='c'><p>{}</p></div></div><div class='d'><p>x</p></div></body>"
+    assert text_of(html.format("one two " * 9, "three " * 5)) == ("one two " * 9).strip() + "\n" + ("three " * 5).strip()
