@@ -51,7 +51,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
+def settle(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage like a checkpoint (a lost executor re-reads files instead of
@@ -60,7 +60,7 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
