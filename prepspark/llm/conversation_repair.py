@@ -36,6 +36,7 @@ ignored.
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -49,7 +50,7 @@ AWAITS = b"uuau"
 REACHES = (2, 2, 3, 2)
 ENDS = (0, 3)
 LEGAL = (b"su", b"ua", b"au")
-SOUND, BLANK, DUPLICATE, CUT, ABSENT = range(5)
+SOUND, BLANK, DUPLICATE, CUT, ABSENT, END = range(6)
 ROLES = {ord("u"): "user", ord("a"): "assistant"}
 
 
@@ -67,15 +68,13 @@ def _arcs(initial: int, fault: int, state: int) -> list[tuple[int, int, int, int
     return found
 
 
-_LAST = [([(0, 0, 1, 0)] if q in ENDS else []) + [(73, INSERT, 0, REACHES[q])] for q in range(4)]
-
-
-def _auction(arcs: list, below: list[int]) -> list[int]:
+def _auction(arcs: list, below: tuple[int, ...]) -> list[int]:
     """Final prices of a row's four nodes, given the final prices ``below`` of the next row's.
 
     ``arcs[q]`` leads from node q to another node of the row (0 rows read) or to one of the next row.
+    Every path goes on to the next row, so its least price is a lawful first price for all nodes.
     """
-    price, final = [0, 0, 0, 0], [False] * 4
+    price, final = [min(below)] * 4, [False] * 4
     for origin in range(4):
         path = [origin]
         while not final[path[-1]]:
@@ -94,31 +93,36 @@ def _auction(arcs: list, below: list[int]) -> list[int]:
     return price
 
 
+@lru_cache(1 << 14)
+def _row(initial: int, fault: int, below: tuple[int, ...]) -> tuple[tuple[int, ...], bytes]:
+    """Prices of a row's nodes and the least letter of a tight arc of each; ``fault`` ``END`` is the end.
+
+    What a row adds depends on the differences of ``below`` alone, so few rows differ.
+    """
+    arcs = [([(0, 0, 1, q)] if q in ENDS else []) + [(73, INSERT, 0, REACHES[q])] if fault == END else _arcs(initial, fault, q) for q in range(4)]
+    price = _auction(arcs, below)
+    tight = (next(x for x, cost, read, to in arcs[q] if cost + (below[to] if read else price[to]) == price[q]) for q in range(4))
+    return tuple(price), bytes(tight)
+
+
 def cheapest_edits(initials: bytes, faults: bytes) -> tuple[int, bytes]:
     """(cost, letters of the edits) of the cheapest repair; of equally cheap ones the least letters."""
-    kinds: dict = {}
-    below = _auction(_LAST, [0] * 4)
-    chosen = [bytes(next(a[0] for a in _LAST[q] if a[1] + (0 if a[2] else below[a[3]]) == below[q]) for q in range(4))]
+    price, letters = _row(0, END, (0, 0, 0, 0))
+    chosen, paid = bytearray(letters), 0
     for initial, fault in zip(reversed(initials), reversed(faults)):
-        arcs = kinds.get((initial, fault))
-        if arcs is None:
-            arcs = kinds[initial, fault] = [_arcs(initial, fault, q) for q in range(4)]
-        price = _auction(arcs, below)
-        tight = [
-            next(letter for letter, cost, read, to in arcs[q] if cost + (below[to] if read else price[to]) == price[q])
-            for q in range(4)
-        ]
-        chosen.append(bytes(tight))
-        below = price
-    letters, state, row, rows = bytearray(), 0, 0, len(initials)
-    while letter := chosen[rows - row][state]:
-        letters.append(letter)
-        if letter == 75 and initials[row] == 115:
+        least = min(price)
+        paid += least
+        price, letters = _row(initial, fault, tuple(p - least for p in price))
+        chosen += letters
+    edits, state, row = bytearray(), 0, len(initials)
+    while letter := chosen[4 * row + state]:
+        edits.append(letter)
+        if letter == 75 and initials[-row] == 115:
             state = 1
         elif letter != 68:
             state = REACHES[state]
-        row += letter != 73
-    return below[0], bytes(letters)
+        row -= letter != 73
+    return paid + price[0], bytes(edits)
 
 
 def flagged(rows: DataFrame) -> DataFrame:
