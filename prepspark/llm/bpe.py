@@ -29,12 +29,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, query, releasing, slices, table
+from .common import fixed, query, slices, table
 
 NONE = np.int32(2**31 - 1)
 MATRIX_BYTES = 192
 MATRIX_CELLS = 1 << 17
-CACHED_PIECES = 120_000
+#: Pieces met lately; as many older ones are kept beside them.
+CACHED_PIECES = 150_000
 CHUNK_CHARS = 1 << 18
 
 
@@ -97,7 +98,13 @@ class Bpe:
         self.pairs = PairTable(self.ranks)
         # \s of the rank files' library is the Unicode property, without the separators U+001C to U+001F
         self.pieces = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+        self.tokens = {r: t for t, r in self.ranks.items()}
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the cache of pieces: what was met lately, and before that."""
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merge_matrix(self, words: list[bytes]) -> list[bytes]:
         """Ids (little-endian uint32) of words of about one length."""
@@ -112,8 +119,9 @@ class Bpe:
             value = rank[np.arange(len(row)), best] if rank.shape[1] else np.full(len(row), NONE)
             out = value == NONE
             if out.any():
-                for r, line, n in zip(row[out], ids[out], length[out]):
-                    done[r] = line[:n].astype("<u4").tobytes()
+                blob, step = ids[out].astype("<u4").tobytes(), 4 * ids.shape[1]
+                for i, (r, n) in enumerate(zip(row[out].tolist(), length[out].tolist())):
+                    done[r] = blob[i * step : i * step + 4 * n]
                 ids, rank, row, length, best, value = (x[~out] for x in (ids, rank, row, length, best, value))
                 if not len(row):
                     break
@@ -166,9 +174,12 @@ class Bpe:
     def learn(self, pieces: set[str]) -> None:
         """Put the ids of new pieces into the cache."""
         if len(self.cache) + len(pieces) > CACHED_PIECES:
-            self.cache.clear()
+            self.cache, self.older = {}, self.cache
         groups: dict[int, list[tuple[str, bytes]]] = {}
         for p in pieces:
+            if (known := self.older.get(p)) is not None:
+                self.cache[p] = known
+                continue
             word = p.encode("utf-8", "surrogatepass")
             if (whole := self.ranks.get(word)) is not None:
                 self.cache[p] = whole.to_bytes(4, "little")
@@ -190,8 +201,8 @@ class Bpe:
             chars += len(text or "")
             if chars >= CHUNK_CHARS or i == len(texts) - 1:
                 every = set().union(*chunk)
-                for _ in range(2):  # once more if the cache was emptied for the new pieces
-                    if new := {p for p in every if p not in self.cache}:
+                for _ in range(2):  # once more if the cache was put aside for the new pieces
+                    if new := every.difference(self.cache):
                         self.learn(new)
                 for pieces in chunk:
                     yield b"".join(map(self.cache.__getitem__, pieces))
@@ -199,8 +210,8 @@ class Bpe:
 
 
 def _bpe(vocabulary: bytes, pattern: str) -> Bpe:
-    """The worker's encoder; kept between tasks."""
-    return held(("bpe", hashlib.sha256(vocabulary + pattern.encode()).digest()), lambda: Bpe(vocabulary, pattern))
+    """The worker's encoder; its tables are kept between tasks, its cache of pieces is not."""
+    return fixed(("bpe", hashlib.sha256(vocabulary + pattern.encode()).digest()), lambda: Bpe(vocabulary, pattern))
 
 
 def _shipped(df: DataFrame, path: str):
@@ -218,15 +229,18 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str
 
     def run(batches):
         bpe = _bpe(file.value, pattern)
-        for part in slices(batches):
-            ids = list(bpe.encode_batch(part.column(1).to_pylist()))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                [id_col, "n_tokens", "ids"],
-            )
+        try:
+            for part in slices(batches):
+                ids = list(bpe.encode_batch(part.column(1).to_pylist()))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                    [id_col, "n_tokens", "ids"],
+                )
+        finally:
+            bpe.forget()
 
     kind = source.schema[id_col].dataType.simpleString()
-    return source.mapInArrow(releasing(run), f"`{id_col}` {kind}, n_tokens bigint, ids binary")
+    return source.mapInArrow(run, f"`{id_col}` {kind}, n_tokens bigint, ids binary")
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id") -> DataFrame:
@@ -235,7 +249,7 @@ def decode_documents(encoded: DataFrame, vocabulary: str, pattern: str, id_col:
     source = encoded.select(id_col, "n_tokens", "ids")
 
     def run(batches):
-        tokens = {r: t for t, r in read_ranks(file.value).items()}
+        tokens = _bpe(file.value, pattern).tokens
         for part in slices(batches):
             out = [decode(tokens, x) for x in part.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], [id_col, "n_tokens", "ids", "decoded"])
@@ -251,11 +265,25 @@ def token_digests(docs: DataFrame, vocabulary: str | None = None, pattern: str |
 
         vocabulary = vocabulary or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
         pattern = pattern or public_tokenizers.PATTERN
-    encoded = encode_documents(docs, vocabulary, pattern, id_col, text_col)
-    both = decode_documents(encoded, vocabulary, pattern, id_col)
-    return both.select(
-        id_col, "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
-    )
+    file = _shipped(docs, vocabulary)
+    source = docs.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("text"))
+
+    def run(batches):  # ids and bytes stay in the worker; only their digests leave it
+        bpe = _bpe(file.value, pattern)
+        try:
+            for part in slices(batches):
+                counts, ids_sha, decoded_sha = [], [], []
+                for ids in bpe.encode_batch(part.column(1).to_pylist()):
+                    counts.append(len(ids) // 4)
+                    ids_sha.append(hashlib.sha256(ids).hexdigest())
+                    decoded_sha.append(hashlib.sha256(decode(bpe.tokens, ids)).hexdigest())
+                columns = [part.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:
+            bpe.forget()
+
+    kind = source.schema[id_col].dataType.simpleString()
+    return source.mapInArrow(run, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 @query("op6_byte_bpe")

@@ -64,9 +64,19 @@ def settle(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_FIXED: dict = {}
 _HELD: dict = {}
 
 
+def fixed(key, build: Callable):
+    """What a Python worker keeps between tasks: a table whose size is a model's, not the data's."""
+    if key not in _FIXED:
+        if len(_FIXED) >= 2:
+            _FIXED.clear()
+        _FIXED[key] = build()
+    return _FIXED[key]
+
+
 def held(key, build: Callable):
     """What a Python worker keeps while a task runs (a model, a cache of words)."""
     if key not in _HELD:
