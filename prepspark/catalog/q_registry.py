@@ -238,6 +238,57 @@ def pca_reduce(spark, sf):
     return plan.transform(df, "l_returnflag")
 
 
+_PCA_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _spectrum_sql(view, columns):
+    """Traces of the first powers of the covariance matrix: they determine its eigenvalues."""
+    cov = union([f"SELECT {i} AS i, {j} AS j, covar_samp({a} / 1.0, {b} / 1.0) AS v FROM src" for i, a in enumerate(columns) for j, b in enumerate(columns)])
+    ctes, last = [f"p1 AS ({cov})"], "p1"
+    for k in range(2, len(columns) + 1):
+        ctes.append(f"p{k} AS (SELECT a.i, b.j, sum(a.v * b.v) AS v FROM {last} a JOIN p1 b ON a.j = b.i GROUP BY 1, 2)")
+        last = f"p{k}"
+    rows = [f"SELECT {k} AS power, round(ln(sum(v)), 6) AS log_trace FROM p{k} WHERE i = j" for k in range(1, len(columns) + 1)]
+    return src(view) + ", " + ", ".join(ctes) + "\n" + union(rows)
+
+
+@query("pca_spectrum", _spectrum_sql("lineitem", _PCA_COLS))
+def pca_spectrum(spark, sf):
+    """DR2: traces of powers of the covariance of the projected rows, all components kept."""
+    df = load(spark, sf, "lineitem").select(*_PCA_COLS)
+    done = DR.fit_pca(df, _PCA_COLS, variance=1.0).transform(df)
+    own = [F.var_samp(c).alias(c) for c in done.columns]  # components are uncorrelated: their variances are the eigenvalues
+    traces = [F.struct(F.lit(k).alias("power"), F.round(F.log(sum(F.col(c) ** k for c in done.columns)), 6).alias("log_trace"))
+              for k in range(1, len(_PCA_COLS) + 1)]
+    return done.agg(*own).select(F.inline(F.array(*traces)))
+
+
+def _separation_sql(view, columns, target):
+    """trace(pinv(Sw) Sb) of two columns, written out: the discriminant ratios' sum."""
+    a, b = columns
+    x, y = f"coalesce(CAST({a} AS DOUBLE), 0)", f"coalesce(CAST({b} AS DOUBLE), 0)"
+    return src(view) + f""", t AS (SELECT CAST({target} AS VARCHAR) AS g, {x} AS x, {y} AS y FROM src),
+c AS (SELECT g, count(*) AS n, avg(x) AS mx, avg(y) AS my FROM t WHERE g IS NOT NULL GROUP BY g), m AS (SELECT avg(x) AS mx, avg(y) AS my, count(*) AS n FROM t),
+b AS (SELECT sum(c.n * (c.mx - m.mx) ** 2) AS xx, sum(c.n * (c.mx - m.mx) * (c.my - m.my)) AS xy, sum(c.n * (c.my - m.my) ** 2) AS yy FROM c, m),
+w AS (SELECT var_pop(x) * count(*) - any_value(b.xx) AS xx, covar_pop(x, y) * count(*) - any_value(b.xy) AS xy, var_pop(y) * count(*) - any_value(b.yy) AS yy FROM t, b)
+SELECT round((w.yy * b.xx - 2 * w.xy * b.xy + w.xx * b.yy) / (w.xx * w.yy - w.xy ** 2), 6) AS ratio FROM w, b"""
+
+
+@query("lda_separation", _separation_sql("doc_quality", ["n_chars", "toxic"], "quality"))
+def lda_separation(spark, sf):
+    """DR3: between-class over within-class spread of the projected rows, summed over the components."""
+    df = load(spark, sf, "doc_quality").select("n_chars", "toxic", "quality")
+    plan = DR.fit_lda(df, ["n_chars", "toxic"], "quality")
+    done = plan.transform(df, "quality")
+    ratio = F.lit(0.0)
+    for c in [c for c in done.columns if c != "quality"]:
+        all_ = done.agg(F.avg(c).alias("m"), (F.var_pop(c) * F.count(F.lit(1))).alias("t")).first()
+        groups = done.where("quality IS NOT NULL").groupBy("quality").agg(F.count(F.lit(1)).alias("n"), F.avg(c).alias("m"))
+        between = groups.agg(F.sum(F.col("n") * (F.col("m") - all_["m"]) ** 2)).first()[0]
+        ratio = ratio + F.lit(between / (all_["t"] - between))
+    return spark.range(1).select(F.round(ratio, 6).alias("ratio"))
+
+
 @query("lda_reduce")
 def lda_reduce(spark, sf):
     df = load(spark, sf, "doc_quality")

@@ -8,9 +8,11 @@ column's position in the frame so callers can keep the frame's order.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.comoments import comoments
 from ..functions.dates import DATE_RATE, best_rate_expr
 from ..functions.names import in_scale_agg
 from ..functions.stats import distinct_counts, moment_fields, numeric_stats, pandas_dtype_name, value_frequency
@@ -198,54 +200,21 @@ def top_values(df: DataFrame, n: int = 15, limit_columns: int | None = None) ->
 def correlation(df: DataFrame, columns: list[str] | None = None, digits: int = 4) -> DataFrame:
     """VZ4: Pearson correlation on pair-complete rows, NaN/inf -> 0, rounded.
 
-    One aggregate computes every pair's co-moments; the diagonal is 1.0 for a
-    column with non-zero variance and 0 otherwise (pandas gives NaN -> 0).
+    One pass of mergeable co-moments serves columns with and without missing values.  The
+    diagonal is 1.0 for a column with non-zero variance and 0 otherwise (pandas gives NaN -> 0).
     """
     cols = columns if columns is not None else numeric_columns(df)
-    if cols and _all_present(df, cols):
-        return _dense_correlation(df, cols, digits)
-    structs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            x, y = clean_num(df, a), clean_num(df, b)
-            both = x.isNotNull() & y.isNotNull()
-            xp, yp = F.when(both, x), F.when(both, y)
-            den = F.stddev_samp(xp) * F.stddev_samp(yp)
-            r = F.covar_samp(xp, yp) / F.when(den > 0, den)
-            structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r.alias("r")))
-    if not structs:
-        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
-    one = df.agg(F.array(*structs).alias("s")).select(F.inline("s"))
-    clean = F.round(F.coalesce(F.nanvl(F.col("r"), F.lit(0.0)), F.lit(0.0)), digits)
-    upper = one.select("col_a", "col_b", clean.alias("corr"))
-    lower = upper.where(F.col("col_a") != F.col("col_b")).select(
-        F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "corr")
-    return upper.unionByName(lower)
-
-
-def _all_present(df: DataFrame, cols: list[str]) -> bool:
-    row = df.agg(*[F.count(clean_num(df, c)).alias(f"c{i}") for i, c in enumerate(cols)],
-                 F.count(F.lit(1)).alias("n")).collect()[0]
-    return all(row[f"c{i}"] == row["n"] for i in range(len(cols)))
-
-
-def _dense_correlation(df: DataFrame, cols: list[str], digits: int) -> DataFrame:
-    """No missing values: every pair is complete, so one Gram-matrix pass
-    (Spark ML's tree-aggregated covariance) gives all correlations at once."""
-    import math
-
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    vec = VectorAssembler(inputCols=[f"__c{i}" for i in range(len(cols))], outputCol="__v").transform(
-        df.select(*[clean_num(df, c).alias(f"__c{i}") for i, c in enumerate(cols)]))
-    m = Correlation.corr(vec, "__v").collect()[0][0].toArray()
-    rows = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            v = float(m[i, j])
-            rows.append((a, b, 0.0 if (math.isnan(v) or math.isinf(v)) else round(v, digits)))
-    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
+    schema = "col_a string, col_b string, corr double"
+    if not cols:
+        return df.sparkSession.createDataFrame([], schema)
+    n, a, b, saa, sbb, sab = comoments(df, [clean_num(df, c) for c in cols]).parts
+    tiny = 8 * np.finfo(float).eps  # a constant column's rounding is no spread
+    with np.errstate(invalid="ignore", divide="ignore"):
+        flat = (saa <= n * (tiny * a) ** 2) | (sbb <= n * (tiny * b) ** 2)
+        r = np.where(flat, 0.0, sab / np.sqrt(saa) / np.sqrt(sbb))
+    r = np.where(np.isfinite(r), np.clip(r, -1.0, 1.0), 0.0)
+    rows = [(a, b, round(float(r[i, j]), digits)) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def preview(df: DataFrame, key: str | None = None, n: int = 30) -> DataFrame:
