@@ -209,7 +209,27 @@ def bin_equal_freq(spark, sf):
     return plan.transform(df)
 
 
-@query("bin_kmeans")
+def _kmeans_sql(view, key, c, k):
+    """Lloyd rounds as a recursive query over the counted values."""
+    return src(view) + f""", r AS (SELECT min({c}) AS lo, max({c}) AS hi, 1e-4 * var_pop({c}) AS tol, median({c}) AS med FROM src),
+v AS (SELECT coalesce({c}, med) AS x, count(*) AS n FROM src, r GROUP BY 1),
+l AS (SELECT * FROM (WITH RECURSIVE t(i, cs, shift) AS (
+  SELECT 0, [lo + (hi - lo) * (2 * j + 1) / {2 * k} for j in range({k})], NULL::DOUBLE FROM r
+  UNION ALL
+  SELECT i + 1, new, list_sum(list_transform(range(1, {k} + 1), lambda j: (new[j] - cs[j]) ** 2)) FROM (
+    SELECT t.i, t.cs, list_transform(range(1, {k} + 1), lambda j: coalesce(
+      list_sum(list_transform(list_filter(vs, lambda p: (j = 1 OR p.x > (t.cs[j - 1] + t.cs[j]) / 2) AND (j = {k} OR p.x <= (t.cs[j] + t.cs[j + 1]) / 2)), lambda p: p.x * p.n))
+      / list_sum(list_transform(list_filter(vs, lambda p: (j = 1 OR p.x > (t.cs[j - 1] + t.cs[j]) / 2) AND (j = {k} OR p.x <= (t.cs[j] + t.cs[j + 1]) / 2)), lambda p: p.n)),
+      t.cs[j])) AS new
+    FROM t, (SELECT list({{'x': x, 'n': n}}) AS vs FROM v), r WHERE i < 300 AND coalesce(shift > tol, true))
+) SELECT cs FROM t ORDER BY i DESC LIMIT 1)),
+e AS (SELECT [lo] || [(cs[j] + cs[j + 1]) / 2 for j in range(1, {k})] || [hi] AS edges FROM l, r)
+SELECT {key}, CAST(CASE WHEN {c} IS NULL THEN -1 ELSE least(
+  (SELECT count(*) FROM (SELECT unnest(e.edges[2:]) AS edge) WHERE {c} >= edge), {k - 1}) END AS INTEGER) AS {c}_bin
+FROM src, e"""
+
+
+@query("bin_kmeans", _kmeans_sql("events", "event_id", "value", 5))
 def bin_kmeans(spark, sf):
     df = load(spark, sf, "events").select("event_id", "value")
     plan = D.fit_bins(df, columns=["value"], method="kmeans")

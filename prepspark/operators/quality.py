@@ -8,12 +8,12 @@ a row repeated a billion times collapses to one partial count per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.stats import numeric_stats, stats_rows
 from ..functions.types import as_text, clean_num, dtype_of, flat_columns, is_missing, non_numeric_columns, numeric_columns, q, stripped
+from .fuzzy import fuzzy_categories
 
 
 def iqr_fences(df: DataFrame, columns: list[str]) -> dict:
@@ -138,109 +138,6 @@ def choose_strategy(profile_df: DataFrame, outliers_df: DataFrame, target: str |
     )
 
 
-# ---- IS4: fuzzy category inconsistencies ---------------------------------
-
-FUZZY_RATIO = 0.85
-FUZZY_BLOCK = 2000
-
-
-def _similar(a: str, b: str) -> bool:
-    from difflib import SequenceMatcher
-
-    # ratio = 2M / (la + lb) <= 2 min / (la + lb): a cheap length bound first
-    la, lb = len(a), len(b)
-    if la + lb == 0:
-        return True
-    if 2.0 * min(la, lb) / (la + lb) < FUZZY_RATIO:
-        return False
-    return SequenceMatcher(None, a, b).ratio() >= FUZZY_RATIO
-
-
-def _greedy(values: list[str]) -> tuple[list[str], list[tuple[str, str]]]:
-    """Greedy leader clustering of values already in processing order."""
-    leaders: list[str] = []
-    out = []
-    for v in values:
-        low = v.lower()
-        hit = next((lead for lead in leaders if _similar(low, lead)), None)
-        if hit is None:
-            leaders.append(low)
-            out.append((v, v))
-        else:
-            out.append((v, hit))
-    return leaders, out
-
-
-def fuzzy_categories(df: DataFrame, columns: list[str] | None = None, block: int = FUZZY_BLOCK) -> DataFrame:
-    """IS4: ``(column, source, target)`` for values that a fuzzy leader absorbs.
-
-    Greedy leader clustering in (count desc, value) order -- Spark has no
-    first-seen order.  Exact and blocked, so no task ever holds a whole
-    dictionary:
-
-    * Spark builds each column's dictionary of stripped distinct values with
-      counts (map-side combined);
-    * round r takes the next ``block`` values in order (a bounded top-k),
-      clusters them sequentially, and yields their leaders ``L_r``;
-    * every later value is tested against ``L_r`` in parallel (``L_r`` is
-      shipped with the task, at most ``block`` strings).  A value matching a
-      leader of ``L_r`` maps to the first such leader -- exactly what the
-      sequential algorithm does, because all of ``L_r`` precede any later
-      leader.  Values matching none stay for the next round.
-    """
-    import pandas as pd
-
-    spark = df.sparkSession
-    cols = columns if columns is not None else non_numeric_columns(df)
-    schema = T.StructType([T.StructField("column", T.StringType()), T.StructField("source", T.StringType()),
-                           T.StructField("target", T.StringType())])
-    if not cols:
-        return spark.createDataFrame([], schema)
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), stripped(as_text(df, c, None)).alias("value")) for c in cols])
-    dict_df = (df.select(F.inline(pairs)).where(F.col("value").isNotNull())
-               .groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")))
-    from ..session import cut_lineage
-    remaining = cut_lineage(dict_df)
-    found: list[tuple[str, str, str]] = []
-    matched_parts = []
-    while True:
-        w = Window.partitionBy("column").orderBy(F.col("cnt").desc(), F.col("value").asc())
-        head = remaining.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= block)
-        rows = head.select("column", "value", "cnt", "__r").collect()
-        if not rows:
-            break
-        by_col: dict = {}
-        for r in sorted(rows, key=lambda r: (r["column"], r["__r"])):
-            by_col.setdefault(r["column"], []).append(r["value"])
-        leaders = {}
-        for c, vals in by_col.items():
-            lead, out = _greedy(vals)
-            leaders[c] = lead
-            found += [(c, s_, t_) for s_, t_ in out]
-        taken = head.select("column", "value")
-        rest = remaining.join(taken, ["column", "value"], "left_anti")
-
-        def match(batches, leaders=leaders):
-            for pdf in batches:
-                tg = []
-                for c, v in zip(pdf["column"].tolist(), pdf["value"].tolist()):
-                    low = v.lower()
-                    tg.append(next((lead for lead in leaders.get(c, []) if _similar(low, lead)), None))
-                yield pd.DataFrame({"column": pdf["column"], "value": pdf["value"], "cnt": pdf["cnt"], "target": tg})
-
-        tagged = cut_lineage(rest.mapInPandas(
-            match, "column string, value string, cnt long, target string"))
-        matched_parts.append(tagged.where(F.col("target").isNotNull())
-                             .select("column", F.col("value").alias("source"), "target"))
-        remaining = tagged.where(F.col("target").isNull()).drop("target")
-        if remaining.isEmpty():
-            break
-    out = spark.createDataFrame(found, schema)
-    for m in matched_parts:
-        out = out.unionByName(m)
-    return out.where(F.lower("source") != F.lower("target"))
-
-
 def detect_issues(df: DataFrame) -> dict:
     """The reference's issue report, as DataFrames (missing, summary, IQR outliers, inconsistencies)."""
     from .profile import profile_missing

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +55,11 @@ def cut_lineage(df):
     """Reliable checkpoint: survives executor loss, truncates long plans."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df, name: str, *partition_by: str):
+    """``df`` written as a table in the checkpoint folder and read back; folders by ``partition_by`` can be pruned."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
