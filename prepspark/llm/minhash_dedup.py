@@ -11,16 +11,14 @@ are linked where ``100 * |A & B| >= 75 * |A | B|``.
    instead of ``4 * m * m``.  A link at 0.75 is missed in all tables with a probability of
    ``2 * (1 - 0.75**2) ** m``: 1e-4 for m = 12, and 1e-6 at 0.81.  U_i buckets with a single
    node are left out before the tables are built.
-3. In a bucket every node is compared with the bucket's smallest node, never all with all.
-   Each node's smallest such partner is verified first; that joins most of a group.
-4. Buckets that still hold several components go on: up to ``PAIRED`` nodes, all pairs of
-   different components.  Larger ones are first split by the next minima (pairs of small
-   parts, and of large parts each node with the smallest and with its neighbour), which joins
-   most of what is alike, and are then worked off in rounds: a round compares a block of
-   leaders with all later nodes of the bucket that are in other components and of a size
-   that allows a link, verifies, and joins.  Blocks grow fourfold, so rounds grow with the logarithm of the
-   largest bucket.  They end when no bucket holds two components that were not compared
-   node by node: no pair of a bucket is left out, however large the bucket is.
+3. In a bucket every node is compared with one leader, never all with all: the node that meets
+   most others in the buckets of single pairs, as the text from which copies were made does.
+   Each node's leader with which most minima agree is verified; that joins most of a group.
+4. Nodes of buckets that still hold several components go through an exact join
+   (``prefix_join``): they meet only in their rarest shingles, and only if the positions of these
+   still admit the similarity.  Texts that share a passage, or that are far copies of one text,
+   have too many shingles of their own and never meet, so the work grows with the nodes, not
+   with the pairs of a bucket.  No cap or limit holds back a pair.
 5. Links are verified by intersecting the two full sets.  A pair is not verified only if
    fewer than half of the ``4 * m`` minima agree: 5e-5 at 0.75 for m = 12.
 6. Components by alternating stars; the smallest doc_id of a component names it.
@@ -28,11 +26,8 @@ are linked where ``100 * |A & B| >= 75 * |A | B|``.
 Tables that grow with the corpus are never broadcast, however small they are at the time: every
 join by node, id or bucket is a merge join at every size.
 
-Hot groups: no step gathers a bucket in a task.  Leaders are aggregated on the map side, the
-joins by bucket and by leader can be split by the engine, and neighbours come from a range
-partitioning that cuts large buckets.  Comparisons within a large bucket of texts that stay
-apart grow with the square of its nodes; their signatures meet in the join and only pairs
-that agree are written.
+Hot groups: no step gathers a bucket in a task.  Leaders are aggregated on the map side, and the
+joins by bucket and by shingle can be split by the engine.
 
 Results for odd input: null or blank text is an empty set, linked with nothing, its own
 component; null ids take part and a component is named by its smallest non-null id (null if
@@ -47,17 +42,15 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import held, query, releasing, settle, slices, table
 from .components import connected_components
+from .prefix_join import candidates
 
 SHINGLE = 5
 BANDS = 12
-#: Buckets of at most this many nodes are compared pair by pair in step 4; about as many
-#: nodes lead in the first round of a larger one.
-PAIRED = 16
 _U64 = np.uint64
 CACHED_WORDS = 200_000
 
@@ -129,55 +122,37 @@ def _pair(sig: str, k) -> F.Column:
 
 
 def tables(nodes: DataFrame, m: int) -> DataFrame:
-    """Rows (``bucket``, ``node``, ``part``) of the tensored tables, buckets of two nodes or more.
+    """Rows (``bucket``, ``node``, ``weight``) of the tensored tables, of nodes that share a pair of U with another one.
 
-    ``part`` continues the key with the next pair of each collection.
+    ``weight`` is the number of nodes in the buckets of single pairs that hold the node.
     """
     firsts = nodes.select("node", F.posexplode(F.array(*[_pair("sig", i) for i in range(m)])).alias("i", "u"))
-    shared = firsts.groupBy("i", "u").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    met = firsts.join(shared, ["i", "u"], "left_semi").groupBy("node").agg(F.collect_set("i").alias("own"))
+    shared = firsts.groupBy("i", "u").agg(F.count("*").alias("n")).where("n > 1")
+    met = firsts.join(shared, ["i", "u"]).groupBy("node").agg(F.collect_set("i").alias("own"), F.sum("n").alias("weight"))
     i, j = F.col("i"), F.col("j")
     rows = (
         met.join(nodes.select("node", "sig").hint("merge"), "node")
-        .select("node", "sig", F.explode("own").alias("i"))
-        .select("node", "sig", "i", F.explode(F.array(*map(F.lit, range(m)))).alias("j"))
-        .select(
-            F.xxhash64("i", "j", _pair("sig", i), _pair("sig", j + m)).alias("bucket"),
-            "node",
-            F.xxhash64(_pair("sig", (i + 1) % m), _pair("sig", (j + 1) % m + m)).alias("part"),
-        )
+        .select("node", "sig", "weight", F.explode("own").alias("i"))
+        .select("node", "sig", "weight", "i", F.explode(F.array(*map(F.lit, range(m)))).alias("j"))
+        .select(F.xxhash64("i", "j", _pair("sig", i), _pair("sig", j + m)).alias("bucket"), "node", "weight")
     )
     return rows
 
 
 def _stars(rows: DataFrame) -> DataFrame:
-    """Links (a, b) of every node to the smallest node of its bucket."""
-    leaders = rows.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1")
-    links = rows.join(leaders.select("bucket", "a"), "bucket").where("a <> node")
+    """Links (a, b) of every node b to the leader a of each of its buckets."""
+    lead = F.max(F.struct("weight", "node")).alias("lead")
+    leaders = rows.groupBy("bucket").agg(lead, F.count("*").alias("n")).where("n > 1")
+    links = rows.join(leaders.select("bucket", F.col("lead.node").alias("a")), "bucket").where("a <> node")
     return links.select("a", F.col("node").alias("b")).distinct()
 
 
-def _neighbours(rows: DataFrame) -> DataFrame:
-    """Links of nodes that follow each other in a bucket; buckets may be cut between tasks."""
-
-    def run(batches):
-        last = None
-        for batch in batches:
-            out_a, out_b = [], []
-            for bucket, node in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if last and last[0] == bucket and last[1] != node:
-                    out_a.append(min(last[1], node))
-                    out_b.append(max(last[1], node))
-                last = (bucket, node)
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.binary()), pa.array(out_b, pa.binary())], ["a", "b"])
-
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.select("bucket", "node").repartitionByRange(parts, "bucket", "node").sortWithinPartitions("bucket", "node")
-    return ordered.mapInArrow(run, "a binary, b binary").distinct()
-
-
-def _agreeing(both: DataFrame, count: int, least: float = 0.5) -> DataFrame:
-    """Rows (a, b) of (a, b, s, t) of whose minima ``s`` and ``t`` at least the share ``least`` agree."""
+def _alike(pairs: DataFrame, nodes: DataFrame, count: int, least: float = 0.5) -> DataFrame:
+    """(a, b, ``same``): pairs of which at least the share ``least`` of the minima agree, and how many do."""
+    sig = nodes.select("node", "sig").hint("merge")
+    both = pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("s")), "a").join(
+        sig.select(F.col("node").alias("b"), F.col("sig").alias("t")), "b"
+    )
 
     def run(batches):
         for batch in batches:
@@ -186,19 +161,12 @@ def _agreeing(both: DataFrame, count: int, least: float = 0.5) -> DataFrame:
             s, t = (
                 np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u4").reshape(batch.num_rows, count) for k in (2, 3)
             )
-            keep = pa.array((s == t).sum(axis=1) >= least * count)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+            same = (s == t).sum(axis=1).astype(np.int32)
+            keep = pa.array(same >= least * count)
+            columns = [batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array(same).filter(keep)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "same"])
 
-    return both.select("a", "b", "s", "t").mapInArrow(run, "a binary, b binary")
-
-
-def _alike(pairs: DataFrame, nodes: DataFrame, count: int) -> DataFrame:
-    """Pairs of which at least half of the minima agree."""
-    sig = nodes.select("node", "sig").hint("merge")
-    both = pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("s")), "a").join(
-        sig.select(F.col("node").alias("b"), F.col("sig").alias("t")), "b"
-    )
-    return _agreeing(both, count)
+    return both.select("a", "b", "s", "t").mapInArrow(run, "a binary, b binary, same int")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -262,38 +230,8 @@ def _joined(roots: DataFrame, links: DataFrame, name: str) -> DataFrame:
 
 def _apart(frame: DataFrame) -> DataFrame:
     """Rows of buckets that hold nodes of several components."""
-    mixed = frame.groupBy("bucket").agg(F.min("node_root").alias("p"), F.max("node_root").alias("q"), F.count("*").alias("n"))
-    return frame.drop("n").join(mixed.where("p <> q").select("bucket", "n"), "bucket")
-
-
-def _worked_off(large: DataFrame, roots: DataFrame, nodes: DataFrame, texts: DataFrame, count: int, percent: int) -> DataFrame:
-    """``roots`` after all pairs of different components in the buckets ``large`` (bucket, node, n) were looked at.
-
-    Nodes are digests, so that their order is random and the first six bytes tell a node's
-    place among the ``n`` of its bucket.  A row's ``level`` is the round in which it leads.
-    """
-    share = F.conv(F.hex(F.substring("node", 1, 6)), 16, 10).cast("double") / float(1 << 48)
-    level = F.floor(F.log(4.0, 1 + 3 * share * F.col("n") / PAIRED)).cast("int")
-    rows = large.select("bucket", "node", level.alias("level"))
-    rows = settle(rows.join(nodes.select("node", "sig", "size").hint("merge"), "node"), "near-large")
-    last = rows.agg(F.max("level")).first()[0]
-    for k in range(0 if last is None else last + 1):
-        left = settle(_apart(_with_roots(rows.where(F.col("level") >= k), roots, "node")), "near-left")
-        if left.isEmpty():
-            break
-        leaders = left.where(F.col("level") == k).select(
-            "bucket", F.col("node").alias("a"), F.col("node_root").alias("a_root"), F.col("sig").alias("s"), F.col("size").alias("a_size")
-        )
-        met = left.join(leaders.hint("merge"), "bucket").where(
-            (F.col("a") < F.col("node"))
-            & (F.col("a_root") != F.col("node_root"))
-            & (100 * F.least("size", "a_size") >= percent * F.greatest("size", "a_size"))
-        )
-        pairs = _agreeing(met.select("a", F.col("node").alias("b"), "s", F.col("sig").alias("t")), count).distinct()
-        links = settle(_verified(settle(pairs, "near-met"), texts, percent), "near-links")
-        if not links.isEmpty():
-            roots = _joined(roots, links, "near-roots")
-    return roots
+    mixed = frame.groupBy("bucket").agg(F.min("node_root").alias("p"), F.max("node_root").alias("q")).where("p <> q")
+    return frame.join(mixed.select("bucket"), "bucket", "left_semi")
 
 
 def near_duplicates(
@@ -311,27 +249,15 @@ def near_duplicates(
     texts = _texts(docs, rows.drop("sig"), wanted.select("node").distinct(), id_col, text_col)
     # A node's digest names one text up to equal sets; repeated ids can bring a node twice.
     texts = settle(texts.groupBy("node").agg(F.first("text").alias("text")), "near-texts")
-    nearest = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    nearest = stars.groupBy("b").agg(F.max_by("a", F.struct("same", "a")).alias("a")).select("a", "b")
     links = settle(_verified(nearest, texts, percent), "near-first")
     roots = settle(connected_components(links), "near-roots")
 
-    open_rows = settle(_apart(_with_roots(filled, roots, "node")), "near-open")
-    parted = open_rows.where(F.col("n") > PAIRED).select(F.xxhash64("bucket", "part").alias("bucket"), "node", "node_root")
-    parted = settle(_apart(parted), "near-parted")
-
-    def pairs(frame: DataFrame) -> DataFrame:
-        small = frame.where(F.col("n") <= PAIRED)
-        other = small.select("bucket", F.col("node").alias("b"), F.col("node_root").alias("b_root"))
-        met = small.join(other, "bucket").where("node < b AND node_root <> b_root")
-        return met.select(F.col("node").alias("a"), "b")
-
-    large = parted.where(F.col("n") > PAIRED).select("bucket", "node")
-    more = pairs(open_rows).unionByName(pairs(parted)).unionByName(_stars(large)).unionByName(_neighbours(large))
-    more = _with_roots(more.unionByName(stars).distinct(), roots, "a", "b").where("a_root <> b_root").select("a", "b")
-    more = settle(_alike(more, nodes, count), "near-more")
-    second = settle(_verified(more, texts, percent), "near-second")
-    roots = _joined(roots, second, "near-roots")
-    roots = _worked_off(open_rows.where(F.col("n") > PAIRED), roots, nodes, texts, count, percent)
+    open_nodes = _apart(_with_roots(filled.select("bucket", "node"), roots, "node")).select("node", F.col("node_root").alias("root")).distinct()
+    open_texts = texts.join(settle(open_nodes, "near-open").hint("merge"), "node")
+    more = settle(candidates(open_texts, shingle_set, percent), "near-pairs")
+    more = settle(_alike(more, nodes, count).select("a", "b"), "near-more")
+    roots = _joined(roots, settle(_verified(more, texts, percent), "near-second"), "near-roots")
     named = settle(_with_roots(nodes.select("node", "least"), roots, "node").select("node", "least", F.col("node_root").alias("top")), "near-named")
     names = named.groupBy("top").agg(F.min("least").alias("component_id"), F.count("*").alias("m"))
     grouped = named.join(names, "top").select("node", "component_id")
