@@ -13,14 +13,14 @@ are linked where ``100 * |A & B| >= 75 * |A | B|``.
    node are left out before the tables are built.
 3. In a bucket every node is compared with one leader, never all with all: the node that meets
    most others in the buckets of single pairs, as the text from which copies were made does.
-   Each node's leader with which most minima agree is verified; that joins most of a group.
+   The leader with which a node shares most buckets is verified; that joins most of a group.
 4. Nodes of buckets that still hold several components go through an exact join
    (``prefix_join``): they meet only in their rarest shingles, and only if the positions of these
    still admit the similarity.  Texts that share a passage, or that are far copies of one text,
    have too many shingles of their own and never meet, so the work grows with the nodes, not
-   with the pairs of a bucket.  No cap or limit holds back a pair.
-5. Links are verified by intersecting the two full sets.  A pair is not verified only if
-   fewer than half of the ``4 * m`` minima agree: 5e-5 at 0.75 for m = 12.
+   with the pairs of a bucket.  Pairs are verified in rounds, the most promising of a node first;
+   pairs of components that a round joined need no verification.  No cap holds back a pair.
+5. Links are verified by intersecting the two full sets.
 6. Components by alternating stars; the smallest doc_id of a component names it.
 
 Tables that grow with the corpus are never broadcast, however small they are at the time: every
@@ -42,7 +42,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import held, query, releasing, settle, slices, table
@@ -140,33 +140,12 @@ def tables(nodes: DataFrame, m: int) -> DataFrame:
 
 
 def _stars(rows: DataFrame) -> DataFrame:
-    """Links (a, b) of every node b to the leader a of each of its buckets."""
+    """A link (a, b) per node b: to the leader a with which it shares most buckets."""
     lead = F.max(F.struct("weight", "node")).alias("lead")
     leaders = rows.groupBy("bucket").agg(lead, F.count("*").alias("n")).where("n > 1")
     links = rows.join(leaders.select("bucket", F.col("lead.node").alias("a")), "bucket").where("a <> node")
-    return links.select("a", F.col("node").alias("b")).distinct()
-
-
-def _alike(pairs: DataFrame, nodes: DataFrame, count: int, least: float = 0.5) -> DataFrame:
-    """(a, b, ``same``): pairs of which at least the share ``least`` of the minima agree, and how many do."""
-    sig = nodes.select("node", "sig").hint("merge")
-    both = pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("s")), "a").join(
-        sig.select(F.col("node").alias("b"), F.col("sig").alias("t")), "b"
-    )
-
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            s, t = (
-                np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u4").reshape(batch.num_rows, count) for k in (2, 3)
-            )
-            same = (s == t).sum(axis=1).astype(np.int32)
-            keep = pa.array(same >= least * count)
-            columns = [batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array(same).filter(keep)]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "same"])
-
-    return both.select("a", "b", "s", "t").mapInArrow(run, "a binary, b binary, same int")
+    met = links.groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("n"))
+    return met.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -234,6 +213,26 @@ def _apart(frame: DataFrame) -> DataFrame:
     return frame.join(mixed.select("bucket"), "bucket", "left_semi")
 
 
+def _linked(pairs: DataFrame, roots: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """``roots`` after all ``pairs`` (a, b, p, q, bound) were verified whose components did not meet otherwise.
+
+    A round verifies each node's most promising pairs with every other component, four times as many as
+    the round before, and drops the pairs of components that it joined.
+    """
+    place = Window.partitionBy("a", "q").orderBy(F.desc("bound"), "b")
+    pairs = settle(pairs.withColumn("place", F.row_number().over(place)), "near-pairs")
+    done, many = 0, 1
+    while True:
+        links = settle(_verified(pairs.where((F.col("place") > done) & (F.col("place") <= many)).select("a", "b"), texts, percent), "near-links")
+        roots = _joined(roots, links, "near-roots")
+        done, many = many, 4 * many
+        waiting = pairs.where(F.col("place") > done).select("p", "q").distinct()
+        waiting = settle(_with_roots(waiting, roots, "p", "q").where("p_root <> q_root").select("p", "q"), "near-waiting")
+        if waiting.isEmpty():
+            return roots
+        pairs = settle(pairs.where(F.col("place") > done).join(waiting.hint("merge"), ["p", "q"], "left_semi"), "near-pairs")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, bands: int = BANDS
 ) -> DataFrame:
@@ -244,20 +243,17 @@ def near_duplicates(
     nodes = settle(classes, "near-nodes")
     filled = settle(tables(nodes, bands), "near-tables")
 
-    stars = settle(_alike(_stars(filled), nodes, count), "near-stars")
+    stars = settle(_stars(filled), "near-stars")
     wanted = filled.join(filled.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket", "left_semi")
     texts = _texts(docs, rows.drop("sig"), wanted.select("node").distinct(), id_col, text_col)
     # A node's digest names one text up to equal sets; repeated ids can bring a node twice.
     texts = settle(texts.groupBy("node").agg(F.first("text").alias("text")), "near-texts")
-    nearest = stars.groupBy("b").agg(F.max_by("a", F.struct("same", "a")).alias("a")).select("a", "b")
-    links = settle(_verified(nearest, texts, percent), "near-first")
+    links = settle(_verified(stars, texts, percent), "near-first")
     roots = settle(connected_components(links), "near-roots")
 
     open_nodes = _apart(_with_roots(filled.select("bucket", "node"), roots, "node")).select("node", F.col("node_root").alias("root")).distinct()
     open_texts = texts.join(settle(open_nodes, "near-open").hint("merge"), "node")
-    more = settle(candidates(open_texts, shingle_set, percent), "near-pairs")
-    more = settle(_alike(more, nodes, count).select("a", "b"), "near-more")
-    roots = _joined(roots, settle(_verified(more, texts, percent), "near-second"), "near-roots")
+    roots = _linked(candidates(open_texts, shingle_set, percent), roots, texts, percent)
     named = settle(_with_roots(nodes.select("node", "least"), roots, "node").select("node", "least", F.col("node_root").alias("top")), "near-named")
     names = named.groupBy("top").agg(F.min("least").alias("component_id"), F.count("*").alias("m"))
     grouped = named.join(names, "top").select("node", "component_id")

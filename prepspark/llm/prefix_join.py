@@ -172,7 +172,10 @@ def prefixes(sets: DataFrame, counts: DataFrame, buckets: int, percent: int) ->
 
 
 def candidates(texts: DataFrame, sets_of: Callable, percent: int) -> DataFrame:
-    """(``a``, ``b``), a < b: all pairs of (node, root, text) of different roots whose sets can be ``percent`` similar."""
+    """All pairs of (node, root, text) of different roots whose sets can be ``percent`` similar.
+
+    ``a``, ``b``, their roots ``p``, ``q``, and ``bound``: the most members that they can share, as a share of all.
+    """
     sets = batched_sets(texts, sets_of)
     total = sets.agg(F.sum(F.aggregate("held", F.lit(0).cast("bigint"), lambda t, x: t + x))).first()[0] or 0
     buckets = 1 + total // BUCKET_MEMBERS
@@ -186,4 +189,7 @@ def candidates(texts: DataFrame, sets_of: Callable, percent: int) -> DataFrame:
     met = shared.join(left.hint("merge"), "member").where(
         (F.col("root") != F.col("a_root")) & ((F.col("root") == F.col("top")) | (F.col("a") < F.col("node"))) & admitted
     )
-    return met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    shares = F.least("rest", "a_rest")
+    bound = (shares / (F.col("size") + F.col("a_size") - shares)).alias("bound")
+    pairs = met.select("a", F.col("node").alias("b"), F.col("a_root").alias("p"), F.col("root").alias("q"), bound)
+    return pairs.groupBy("a", "b", "p", "q").agg(F.max("bound").alias("bound"))
