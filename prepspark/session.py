@@ -37,12 +37,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator of the cluster sets it to a shared folder; we only
-    set our own (a fresh temp folder) when the session has none, as in tests.
+    On a cluster it must name a shared folder.  Only a session that runs on this machine alone (``local[n]``,
+    as in tests) and has none gets a fresh temp folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="prepspark-ckpt-")
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        current = "file://" + tempfile.mkdtemp(prefix="prepspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     try:
         spark.sparkContext.setCheckpointDir(current)
