@@ -12,6 +12,7 @@ from ..operators import audit as AU
 from ..operators import reduce as DR
 from ..operators import registry as RG
 from ..operators import report as RP
+from ..operators import runs as RU
 from ..operators import search as ML
 from ..plans import prep as PL
 from ..session import ensure_checkpoint_dir
@@ -352,6 +353,19 @@ def basic_prep(spark, sf):
     return PL.run_basic_prep(df, "c_mktsegment", "classification", key="c_custkey").frame
 
 
+@query("run_registry", src("customer_dirty") + """, n AS (SELECT count(*) AS rows FROM (SELECT DISTINCT * FROM src))
+SELECT seq, n.rows AS dataset_rows, seq = 0 AS first_link, true AS intact FROM n, (VALUES (0::BIGINT), (1::BIGINT)) AS t(seq)""")
+def run_registry(spark, sf):
+    """AU2, PL2: the audit records that two runs leave in one store."""
+    df = load(spark, sf, "customer_dirty")
+    store = _scratch(spark, "store")
+    for run in ("first", "second"):
+        PL.run_basic_prep(df, "c_mktsegment", "classification", key="c_custkey", store=store, run_id=run)
+    records = RU.read_runs(spark, store, "audit", RU.AUDIT)
+    intact = all(RU.verify_audit(records))
+    return records.select("seq", "dataset_rows", (F.col("prev_hash") == AU.GENESIS).alias("first_link"), F.lit(intact).alias("intact"))
+
+
 __all__ = ["is_numeric_type"]
 
 
