@@ -77,6 +77,31 @@ def mutual_info_regression(spark, sf):
     return S.mutual_info_report(load(spark, sf, "lineitem"), "l_extendedprice", "regression")
 
 
+def _mi_knn_sql(view, target, columns, k=3):
+    """The nearest-neighbour estimate by all pairs; psi of whole numbers by harmonic sums."""
+    psi = lambda e: f"(coalesce(list_sum(list_transform(range(1, ({e})::BIGINT), lambda i: 1.0 / i)), 0) - 0.5772156649015329)"
+    parts = []
+    for c in columns:
+        x = f"coalesce(CAST({c} AS DOUBLE), 0)"
+        parts.append(f"""SELECT '{c}' AS "column", greatest(0, round({psi("any_value(n)")} + avg({psi("k")}) - avg({psi("size")}) - avg({psi("m")}), 6)) AS mi FROM (
+  SELECT p.id, any_value(p.k) AS k, any_value(p.size) AS size, any_value(p.n) AS n,
+         count(*) FILTER (CASE WHEN r > 0 THEN abs(o.x - p.x) < r ELSE o.x = p.x END) AS m
+  FROM (SELECT a.id, any_value(a.x) AS x, any_value(a.k) AS k, any_value(a.size) AS size, any_value(a.n) AS n,
+               list_sort(list(abs(b.x - a.x)))[any_value(a.k)] AS r
+        FROM pts_{c} a JOIN pts_{c} b ON a.y = b.y AND a.id <> b.id GROUP BY a.id) p, pts_{c} o GROUP BY p.id)""")
+    ctes = [f"""all_{c} AS (SELECT row_number() OVER () AS id, coalesce(CAST({target} AS VARCHAR), 'nan') AS y, coalesce(CAST({c} AS DOUBLE), 0) AS v FROM src),
+pts_{c} AS (SELECT id, y, v / (SELECT CASE WHEN stddev_pop(v) > 0 THEN stddev_pop(v) ELSE 1 END FROM all_{c}) AS x, size, least({k}, size - 1) AS k, count(*) OVER () AS n
+  FROM (SELECT *, count(*) OVER (PARTITION BY y) AS size FROM all_{c}) WHERE size > 1)""" for c in columns]
+    return src(view) + ", " + ",\n".join(ctes) + "\n" + union(parts)
+
+
+@query("mutual_info_knn", _mi_knn_sql("doc_quality", "quality", ["doc_id", "n_chars", "toxic"]))
+def mutual_info_knn(spark, sf):
+    """FS3 by nearest neighbours, ties as they are."""
+    found = S.knn_mutual_info(load(spark, sf, "doc_quality"), ["doc_id", "n_chars", "toxic"], "quality", jitter=False)
+    return found.select("column", F.round("mi", 6).alias("mi"))
+
+
 @query("embedded_importance")
 def embedded_importance(spark, sf):
     return S.embedded_report(load(spark, sf, "doc_quality"), "quality", "classification", trees=100)
