@@ -1,8 +1,8 @@
 """Language ID: scripts narrow the candidates, Viterbi labels spans of mixed texts.
 
 Learning counts hashed character n-grams (orders 1 to 4, with word ends) per language, and
-letters per script and language, over a sample of at most about ``train_rows`` labelled
-rows, chosen by a hash of the id; the model has ``2 ** GRAM_BITS`` numbers a language,
+letters per script and language, over a sample of about ``train_rows`` labelled rows of each
+language at most, chosen by a hash of the id; the model has ``2 ** GRAM_BITS`` numbers a language,
 whatever the corpus.  A word's score in a language is the sum of its n-grams' log
 likelihoods; languages without a share of ``MIN_SHARE`` of their letters in the word's
 script are no candidates.  Viterbi over a text's words pays ``penalty`` for each change of
@@ -12,8 +12,11 @@ its spans is predicted, and its share of the letters is the score.
 Prediction reads the text only and needs no shuffle.  Learning shuffles counts that each
 task has summed up.
 
+A word is a run of letters of one script with the marks that combine with them, so that words of
+Hindi and Thai stay whole and a change of script inside unspaced text is a change of word.
+
 Results for odd input: a null text or one without letters is ``und`` with score 0; without
-labelled rows every text is ``und``; null, repeated ids and repeated rows are passed on row by
+labelled rows every text is ``und``, and the filter keeps those with a letter; null, repeated ids and repeated rows are passed on row by
 row; extra columns are ignored; ties go to the smaller language code; an empty table gives an
 empty result.  Texts are read whole; the longest one bounds a batch's memory.
 """
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import pickle
 import re
+import unicodedata
 import zlib
 from bisect import bisect_right
 from collections import Counter
@@ -40,6 +44,7 @@ CACHED_WORDS = 100_000
 CELLS = 2_000_000
 ROWS = 512
 UNKNOWN = "und"
+SAMPLE_SPACE = 1 << 62
 
 #: First code points of script ranges, in order; a range ends where the next one starts.
 SCRIPTS = [
@@ -51,7 +56,29 @@ SCRIPTS = [
     (0xFB07, "other"), (0x20000, "han"),
 ]
 _STARTS = [s for s, _ in SCRIPTS]
-_WORDS = re.compile(r"[^\W\d_]+")
+_LAST = 0x32400  # no letters from here on
+
+
+def _word_pattern() -> str:
+    """Letters of one script with the marks that combine with them; a word ends where the script changes."""
+    letters, marks = {}, {name: [(0x300, 0x36F)] for _, name in SCRIPTS}
+    for (first, name), end in zip(SCRIPTS, [*_STARTS[1:], _LAST]):
+        for code in range(first, end):
+            kind = unicodedata.category(chr(code))[0]
+            for found in ([letters.setdefault(name, [])] if kind == "L" else []) + ([marks[name]] if kind in "LM" else []):
+                if found and found[-1][1] == code - 1:
+                    found[-1] = (found[-1][0], code)
+                else:
+                    found.append((code, code))
+
+    def chars(ranges) -> str:
+        return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+    every = chars([r for own in letters.values() for r in own])
+    return f"(?=[{every}])(?:" + "|".join(f"[{chars(letters[n])}][{chars(marks[n])}]*" for n in letters) + ")"
+
+
+_WORDS = re.compile(_word_pattern())
 
 
 def script_of(word: str) -> str:
@@ -99,13 +126,11 @@ class LanguageModel:
         if self.scores is None or len(self.known) + len(words) > CACHED_WORDS:
             self.known.clear()
             self.scores, self.letters = np.zeros((0, len(self.langs)), np.float32), np.zeros(0, np.int64)
-        plain = ["".join(c for c in w.lower() if c.isalpha()) for w in words]
-        at, bucket = _grams([w or " " for w in plain])
+        plain = [w.lower() for w in words]
+        at, bucket = _grams(plain)
         rows = np.stack([np.bincount(at, self.logp[k][bucket], len(words)) for k in range(len(self.langs))], 1)
         for i, w in enumerate(plain):
-            if not w:
-                rows[i] = 0
-            elif (out := self.scripts.get(script_of(w))) is not None:
+            if (out := self.scripts.get(script_of(w))) is not None:
                 rows[i, out] -= 1e4
         start = len(self.scores)
         self.known.update(zip(words, range(start, start + len(words))))
@@ -187,21 +212,29 @@ class LanguageModel:
         return result
 
 
+def sampled_below(rows: int, wanted: int) -> int:
+    """Of hashes below ``SAMPLE_SPACE``, those below this pick about ``wanted`` of ``rows`` rows; never none."""
+    return max(1, SAMPLE_SPACE * wanted // max(rows, 1))
+
+
 def fit_languages(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                  train_rows: int = 20_000, penalty: float = 12.0) -> LanguageModel:
-    """Model from rows with a language; of more than ``train_rows`` about so many, picked by a hash of the id."""
+                  train_rows: int = 5_000, penalty: float = 12.0) -> LanguageModel:
+    """Model from rows with a language; of a language with more than ``train_rows`` about so many, picked by a hash of the id."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
-    share = min(1.0, train_rows / max(1, rows.count()))
-    picked = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else rows
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    large = {lang: sampled_below(n, train_rows) for lang, n in counts.items() if n > train_rows}
+    picked = rows
+    if large:
+        below = F.element_at(F.create_map(*[F.lit(v) for pair in large.items() for v in pair]), F.col("lang"))
+        picked = rows.where(F.coalesce(F.pmod(F.xxhash64("id"), F.lit(SAMPLE_SPACE)) < below, F.lit(True)))
 
     def run(batches):
         grams: dict[str, np.ndarray] = {}
         scripts: Counter = Counter()
         for batch in slices(batches):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts = Counter("".join(c for c in w.lower() if c.isalpha()) for w in _WORDS.findall(text))
-                counts.pop("", None)
+                counts = Counter(w.lower() for w in _WORDS.findall(text))
                 if not counts:
                     continue
                 at, bucket = _grams(list(counts))
@@ -278,15 +311,22 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text", least: float = 0.0) -> DataFrame:
-    """Rows whose language is found with a score of at least ``least``, with all their columns."""
+    """Rows whose language is found with a score of at least ``least``, with all their columns.
+
+    Where nothing could be learnt, rows with a letter stay.
+    """
     shipped = _ship(docs, model)
     at = docs.columns.index(text_col)
 
     def run(batches):
         own = _open(shipped)
         for batch in slices(batches, ROWS):
-            found = own.label(batch.column(at).to_pylist())
-            yield batch.filter(pa.array([x[0] != UNKNOWN and x[1] >= least for x in found], pa.bool_()))
+            texts = batch.column(at).to_pylist()
+            if own.langs:
+                keep = [x[0] != UNKNOWN and x[1] >= least for x in own.label(texts)]
+            else:
+                keep = [bool(t and _WORDS.search(t)) for t in texts]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(releasing(run), docs.schema)
 

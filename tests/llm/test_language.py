@@ -1,6 +1,6 @@
 import random
 
-from prepspark.llm.language_id import UNKNOWN, LanguageModel, fit_languages, held_out, identify, keep_identified, predict_languages, script_of
+from prepspark.llm.language_id import SAMPLE_SPACE, UNKNOWN, _WORDS, sampled_below, LanguageModel, fit_languages, held_out, identify, keep_identified, predict_languages, script_of
 from pyspark.sql import functions as F
 
 EN = "the and of with that from this which there their would about people water little house".split()
@@ -76,3 +76,23 @@ def test_full_cache_and_scripts(spark, monkeypatch):
     assert [x[0] for x in model.label([" ".join(EN), " ".join(DE), None, "123"])] == ["en", "de", UNKNOWN, UNKNOWN]
     assert script_of("ж") == "cyrillic" and script_of("ß") == "latin" and script_of("漢") == "han"
     assert isinstance(model, LanguageModel) and model.scripts["cyrillic"].tolist() == [True, True, False]
+
+
+def test_words_keep_marks_and_end_at_script_changes():
+    assert _WORDS.findall("हिन्दी ภาษาไทย Hello中文字, e\u0301te\u0301 12 a_b привет́") == [
+        "हिन्दी", "ภาษาไทย", "Hello", "中文字", "e\u0301te\u0301", "a", "b", "привет́"]
+    for c in range(0x2FA20):
+        assert bool(_WORDS.search(chr(c))) == chr(c).isalpha()
+
+
+def test_sample_never_reaches_zero(spark):
+    assert [sampled_below(n, 5000) > 0 for n in (1, 10**6, 10**11, 10**20)] == [True] * 4
+    assert abs(sampled_below(10**11, 5000) / SAMPLE_SPACE - 5e-8) < 1e-12
+    docs = corpus(spark, 300).where("lang <> 'ru' OR doc_id < 20")  # a rare language keeps its rows
+    assert fit_languages(docs, train_rows=30).langs == ["de", "en", "ru"]
+
+
+def test_documents_stay_where_nothing_was_learnt(spark):
+    docs = corpus(spark, 30).withColumn("lang", F.lit(None).cast("string")).unionByName(
+        spark.createDataFrame([(90, "12 !", None), (91, None, None)], "doc_id long, text string, lang string"))
+    assert keep_identified(docs, fit_languages(docs)).count() == 30
