@@ -10,10 +10,10 @@
    own best one.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments are left out by tag, role and class words, wherever they stand.  Class and id words are
-evidence only: an element goes by them if it holds less than half of the page's text
-outside links, and ids of headings, ids of sections made from their titles, and words after with, has, no or without,
-say nothing.  White space in a
+comments are left out by tag, role and class words, wherever they stand.  A class or id is
+evidence only: all its words must say so (``share-buttons``, not ``share-price``), the element must hold less than
+half of the page's text outside links, and ids of headings and ids of sections made from their titles
+say nothing.  A title and lead paragraphs before the container belong to it.  White space in a
 block becomes one space and blocks are joined by a line feed; nothing else is dropped.
 Broken pages are read as browsers do: an open paragraph ends where the next block starts,
 stray end tags are ignored, an unfinished tag at the end is dropped.
@@ -29,6 +29,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import defaultdict
 from html import unescape
@@ -54,7 +55,14 @@ DROPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist "
     "consent cookie cookies disqus footer footnav gdpr login masthead menu menus modal nav navbar navigation newsletter notice "
     "notices notification overlay pager pagination paywall popup promo promotion recommended related reply replies respond "
-    "search share sharing sidebar sidenav signup social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
+    "search share sharing sidebar sidenav signup social sponsor sponsored subscribe subscription toolbar topbar widget widgets "
+    "discussion discussions header".split()
+)
+#: Words that say nothing on their own: a name marks its element if all its words are of these or of the above.
+PLAIN_WORDS = frozenset(
+    "area aside bar block body bottom box button buttons card cell col column container content cta footer form group holder icon icons "
+    "inline inner item items left link links list main module outer page panel place post posts primary reader readers right row secondary "
+    "section site slot space strip text thread title top unit user users wrap wrapper zone".split()
 )
 #: Start tags that end an open element of the named kinds.
 CLOSES = {
@@ -84,8 +92,8 @@ def _tag_end(html: str, at: int) -> int:
 
 #: Share of a container's own text that the containers beside it hold at least where their parent is taken.
 BESIDE = 0.1
-#: Words that turn the next word of a class into a statement on what else the page has.
-COMPOUND = frozenset("with has no without".split())
+#: The same for the body, which holds what no word or tag marks as well.
+BESIDE_IN_BODY = 0.5
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _TITLE = re.compile(r"\s*<h[1-6]\b[^>]*>(.*?)</h[1-6]", re.I | re.S)
 _TAG = re.compile(r"<[^>]*>")
@@ -96,33 +104,61 @@ def _slug(text: str) -> str:
 
 
 def _marks(tag: str, named: str, ident: str, html: str, at: int) -> set[str]:
-    """Words of class and id that say what the element itself is; ``at``: where its content starts."""
+    """Words of class and id that say what the element itself is; ``at``: where its content starts.
+
+    A name counts as a whole: ``share-buttons`` says what the element is, ``share-price`` does not.
+    """
     if tag == "section" and "-" in ident and (title := _TITLE.match(html, at)) and _slug(title.group(1)) == _slug(ident):
         ident = ""  # made from the title
     words: set[str] = set()
     for name in [*named.split(), *([] if tag in HEADINGS else ident.split())]:
         parts = [w.lower() for w in _WORD.findall(name)]
-        words.update(w for i, w in enumerate(parts) if not COMPOUND.intersection(parts[:i]))
+        if parts and all(w in DROPPED_WORDS or w in PLAIN_WORDS for w in parts):
+            words.update(parts)
     return words
 
 
 class Page:
-    """Blocks (node, text, characters in links) of a page; a node is a generalised path."""
+    """Blocks (node, text, characters in links) of a page; a node is a generalised path.
+
+    One reading keeps the blocks of marked elements with their innermost mark; which marks count is decided after it.
+    """
 
     def __init__(self, html: str):
         self.parent, self.label = [0], [""]
         self.child: dict[tuple[int, str], int] = {}
-        self.spared: set[int] = set()
-        while True:
-            self.blocks: list[tuple[int, str, int]] = []
-            self.marked: dict[int, int] = {}
-            self.articles = False
-            self._read(html)
-            total = sum(len(line) - links for _, line, links in self.blocks) + sum(self.marked.values())
-            most = max(self.marked, key=lambda i: (self.marked[i], -i), default=-1)
-            if most < 0 or self.articles or not 0 < total <= 2 * self.marked[most]:
-                break
-            self.spared.add(most)
+        self.found: list[tuple[int, str, int, int, bool, bool]] = []  # node, line, links, mark, in article, heads the page
+        self.outer: list[int] = []  # mark around each mark
+        self._read(html)
+        spared = self._spared()
+        kept = [x for x in self.found if x[3] < 0 or x[3] in spared]
+        self.blocks: list[tuple[int, str, int]] = [x[:3] for x in kept]
+        self.heads = [x[5] for x in kept]
+
+    def _spared(self) -> set[int]:
+        """Marks that do not count: outermost first, those that hold half of the page's text, unless an article stands elsewhere."""
+        weight, below, direct = [0] * len(self.outer), defaultdict(list), defaultdict(list)
+        articles, total = False, 0
+        for _, line, links, mark, inside, _ in self.found:
+            total += len(line) - links
+            direct[mark].append(inside)
+            articles = articles or mark < 0 and inside
+            if mark >= 0:
+                weight[mark] += len(line) - links
+        for mark in range(len(self.outer) - 1, -1, -1):  # inner marks have larger numbers
+            below[self.outer[mark]].append(mark)
+            if self.outer[mark] >= 0:
+                weight[self.outer[mark]] += weight[mark]
+        spared: set[int] = set()
+        open_ = [(-weight[m], m) for m in below[-1]]
+        heapq.heapify(open_)
+        while open_ and not articles and 0 < total <= -2 * open_[0][0]:
+            mark = heapq.heappop(open_)[1]
+            spared.add(mark)
+            articles = any(direct[mark])
+            for inner in below[mark]:
+                heapq.heappush(open_, (-weight[inner], inner))
+        return spared
 
     def node(self, parent: int, label: str) -> int:
         key = (parent, label)
@@ -149,18 +185,16 @@ class Page:
         return node
 
     def _read(self, html: str) -> None:
-        stack: list[tuple[str, int, str, bool]] = [("", 0, "", False)]  # tag, node, why dropped, in article
+        stack: list[tuple[str, int, bool, int, bool]] = [("", 0, False, -1, False)]  # tag, node, dropped, mark, in article
         text: list[str] = []
         links = depth = at = 0
-        mark = -1  # offset of the open element that goes by its words alone
-
         def flush():
             nonlocal links
             if text:
                 line = " ".join(unescape("".join(text)).split())
                 if line:
-                    self.blocks.append((stack[-1][1], line, min(links, len(line))))
-                    self.articles = self.articles or stack[-1][3]
+                    heads = any(x[0] == "h1" for x in stack[-3:]) or stack[-1][0] == "p" and not links
+                    self.found.append((stack[-1][1], line, min(links, len(line)), stack[-1][3], stack[-1][4], heads))
                 text.clear()
             links = 0
 
@@ -177,8 +211,6 @@ class Page:
             if piece and not stack[-1][2]:
                 text.append(piece)
                 links += len(piece) if depth else 0
-            elif piece and stack[-1][2] == "words" and not depth:
-                self.marked[mark] = self.marked.get(mark, 0) + len(" ".join(piece.split()))
             if start < 0:
                 break
             if html.startswith("<!--", start):
@@ -232,13 +264,13 @@ class Page:
                         low = i
                 if low:
                     pop(low)
-            _, node, dropped, inside = stack[-1]
+            _, node, dropped, mark, inside = stack[-1]
             attributes = {a.lower(): b or c or d for a, b, c, d in _ATTRIBUTE.findall(html, m.end(), end)} if end > m.end() else {}
             named = attributes.get("class", "")
-            if not dropped or dropped == "words":
+            if not dropped:
                 words = _marks(tag, named, attributes.get("id", ""), html, at)
                 style = attributes.get("style", "").replace(" ", "").lower()
-                surely = (
+                dropped = (
                     tag in DROPPED_TAGS
                     or tag == "header" and not inside
                     or tag == "article" and bool(words & {"comment", "comments", "reply", "ad", "advert", "sponsored", "related"})
@@ -247,18 +279,20 @@ class Page:
                     or attributes.get("aria-hidden", "").lower() == "true"
                     or "display:none" in style
                 )
-                by_words = tag not in ("html", "body", "article", "main") and (bool(words & DROPPED_WORDS) or "header" in words and not inside)
-                if not dropped and (surely or by_words and start not in self.spared) and tag not in BLOCK:
+                if inside:
+                    words = words - {"header"}
+                by_words = tag not in ("html", "body", "article", "main") and bool(words & DROPPED_WORDS)
+                if by_words and not dropped and tag in BLOCK:
+                    self.outer.append(mark)
+                    mark = len(self.outer) - 1
+                dropped = dropped or by_words and tag not in BLOCK
+                if dropped and tag not in BLOCK:
                     text.append(" ")
-                if surely:
-                    dropped = "surely"
-                elif not dropped and by_words and start not in self.spared:
-                    dropped, mark = "words", start
             if tag in HOLDER:
                 classes = sorted(set(_DIGITS.sub("N", named).replace(">", "_").split()))
                 node = self.node(node, ".".join([tag, *classes]))
             depth += tag == "a"
-            stack.append((tag, node, dropped, inside or tag in ("article", "main")))
+            stack.append((tag, node, dropped, mark, inside or tag in ("article", "main")))
         flush()
 
     def best(self) -> int:
@@ -288,8 +322,9 @@ class Page:
                 worth[n] += len(line) - links
                 n = self.parent[n]
         up = self.parent[node]
-        while self.label[up].split(".")[0] not in ("", "html", "body"):
-            if worth[up] >= (1 + BESIDE) * worth[node]:
+        while self.label[up].split(".")[0] not in ("", "html"):
+            beside = BESIDE_IN_BODY if self.label[up].split(".")[0] == "body" else BESIDE
+            if worth[up] >= (1 + beside) * worth[node]:
                 node = up
             up = self.parent[up]
         return node
@@ -306,7 +341,14 @@ class Page:
                 below[n] = below[node]
             return below[node]
 
-        return "\n".join(line for node, line, _ in self.blocks if under(node))
+        above, up = set(), top
+        while up:
+            up = self.parent[up]
+            above.add(up)
+        first = next((i for i, b in enumerate(self.blocks) if under(b[0])), 0)
+        # title and lead paragraphs that stand before the container, in none of their own
+        lead = (i < first and head and b[0] in above for i, (b, head) in enumerate(zip(self.blocks, self.heads)))
+        return "\n".join(b[1] for b, before in zip(self.blocks, lead) if before or under(b[0]))
 
 
 def host_of(url: Column) -> Column:
