@@ -216,16 +216,17 @@ def _apart(frame: DataFrame) -> DataFrame:
 def _linked(pairs: DataFrame, roots: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """``roots`` after all ``pairs`` (a, b, p, q, bound) were verified whose components did not meet otherwise.
 
-    A round verifies each node's most promising pairs with every other component, four times as many as
+    A round verifies each node's most promising pairs with every other component, sixteen times as many as
     the round before, and drops the pairs of components that it joined.
     """
     place = Window.partitionBy("a", "q").orderBy(F.desc("bound"), "b")
     pairs = settle(pairs.withColumn("place", F.row_number().over(place)), "near-pairs")
-    done, many = 0, 1
+    done, many = 0, 16
     while True:
         links = settle(_verified(pairs.where((F.col("place") > done) & (F.col("place") <= many)).select("a", "b"), texts, percent), "near-links")
-        roots = _joined(roots, links, "near-roots")
-        done, many = many, 4 * many
+        if not links.isEmpty():
+            roots = _joined(roots, links, "near-roots")
+        done, many = many, 16 * many
         waiting = pairs.where(F.col("place") > done).select("p", "q").distinct()
         waiting = settle(_with_roots(waiting, roots, "p", "q").where("p_root <> q_root").select("p", "q"), "near-waiting")
         if waiting.isEmpty():
