@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.types import is_numeric_type
 from ..operators import audit as AU
+from ..operators import merkle as MK
 from ..operators import reduce as DR
 from ..operators import registry as RG
 from ..operators import report as RP
@@ -125,6 +126,33 @@ def table_digest(spark, sf):
     return AU.table_digest(load(spark, sf, "lineitem"))
 
 
+def _merkle_sql(view, columns, tail, levels=3):
+    row = "concat_ws(chr(1), " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), chr(0))" for c in columns) + ")"
+    ctes = [f"l0 AS (SELECT row_number() OVER (ORDER BY h) - 1 AS i, h FROM (SELECT sha256({row}) AS h FROM src))"]
+    for k in range(1, levels + 1):
+        last = f"l{k - 1}"
+        joined = "sha256(string_agg(h, '' ORDER BY i))"
+        ctes.append(f"l{k} AS (SELECT i // 256 AS i, CASE WHEN (SELECT count(*) FROM {last}) = 1 THEN any_value(h) ELSE {joined} END AS h FROM {last} GROUP BY 1)")
+    return src(view) + ", " + ",\n".join(ctes) + "\n" + tail
+
+
+@query("table_merkle", _merkle_sql("lineitem", _LI, 'SELECT (SELECT count(*) FROM l0) AS "rows", h AS root FROM l3'))
+def table_merkle(spark, sf):
+    """AU1: rows and Merkle root of a table."""
+    return MK.merkle_root(MK.merkle_tree(load(spark, sf, "lineitem")))
+
+
+@query("merkle_proof", _merkle_sql("lineitem", _LI, """SELECT level::INT AS level, true AS joined FROM (VALUES (0), (1), (2), (3)) AS t(level)
+WHERE level <= CASE WHEN (SELECT count(*) FROM l0) = 1 THEN 0 WHEN (SELECT count(*) FROM l1) = 1 THEN 1 WHEN (SELECT count(*) FROM l2) = 1 THEN 2 ELSE 3 END"""))
+def merkle_proof(spark, sf):
+    """AU1: the proof of the row with the least hash; each level's hashes join to the next level's."""
+    tree = MK.merkle_tree(load(spark, sf, "lineitem"))
+    steps = MK.proof(tree, tree.where("level = 0").agg(F.min("hash")).first()[0])
+    above = steps.select((F.col("level") - 1).alias("level"), F.col("hash").alias("above"))
+    joined = F.sha2(F.concat("before", "hash", "after"), 256) == F.col("above")
+    return steps.join(above, "level", "left").select("level", F.when(F.col("above").isNull(), True).otherwise(joined).alias("joined"))
+
+
 _PAYLOAD = "concat_ws('|', event_type, props, CAST(ts AS VARCHAR))"
 
 
