@@ -156,20 +156,36 @@ def merkle_proof(spark, sf):
 _PAYLOAD = "concat_ws('|', event_type, props, CAST(ts AS VARCHAR))"
 
 
-@query("audit_chain", f"""WITH RECURSIVE e AS (
+_CHAIN_SQL = f"""WITH RECURSIVE e AS (
   SELECT CAST(user_id AS VARCHAR) AS g, event_id AS o, {_PAYLOAD} AS p,
          row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events),
 c(g, o, rn, prev_hash, current_hash) AS (
   SELECT g, o, rn, 'GENESIS', sha256(p || 'GENESIS') FROM e WHERE rn = 1
   UNION ALL
   SELECT e.g, e.o, e.rn, c.current_hash, sha256(e.p || c.current_hash) FROM e JOIN c ON e.g = c.g AND e.rn = c.rn + 1)
-SELECT g AS user_id, o AS event_id, prev_hash, current_hash FROM c""")
+SELECT g AS user_id, o AS event_id, prev_hash, current_hash FROM c"""
+
+
+@query("audit_chain", _CHAIN_SQL)
 def audit_chain(spark, sf):
     ev = load(spark, sf, "events").withColumn(
         "payload", F.concat_ws("|", "event_type", "props", F.col("ts").cast("string")))
     return AU.chain(ev, "user_id", "event_id", "payload")
 
 
+@query("stream_audit_chain", _CHAIN_SQL)
+def stream_audit_chain(spark, sf):
+    """AU2 on a stream: the same links, carried from micro-batch to micro-batch."""
+    from ..streaming import apply as ST
+    from ..streaming.chain import stream_chain
+
+    sdf = ST.file_stream(spark, sf, "events.parquet", load(spark, sf, "events").schema)
+    sdf = sdf.withColumn("payload", F.concat_ws("|", "event_type", "props", F.col("ts").cast("string")))
+    out, ckpt = ST.stream_output_paths(ensure_checkpoint_dir(spark), f"chain-{uuid.uuid4().hex[:8]}")
+    ST.run_available(stream_chain(sdf, "user_id", "event_id", "payload"), out, ckpt)
+    return spark.read.parquet(out).where("accepted").drop("accepted")
+
+
 @query("audit_latest", "SELECT * FROM events ORDER BY event_id DESC LIMIT 300")
 def audit_latest(spark, sf):
     return AU.audit_latest(load(spark, sf, "events"), "event_id", 300)
