@@ -18,8 +18,8 @@ are linked where ``100 * |A & B| >= 75 * |A | B|``.
    (``prefix_join``): they meet only in their rarest shingles, and only if the positions of these
    still admit the similarity.  Texts that share a passage, or that are far copies of one text,
    have too many shingles of their own and never meet, so the work grows with the nodes, not
-   with the pairs of a bucket.  Pairs are verified in rounds, the most promising of a node first;
-   pairs of components that a round joined need no verification.  No cap holds back a pair.
+   with the pairs of a bucket.  In rounds nodes meet the most promising nodes of each other
+   component, then more, at last all; what a round joined meets no more.  No cap holds back a pair.
 5. Links are verified by intersecting the two full sets.
 6. Components by alternating stars; the smallest doc_id of a component names it.
 
@@ -42,17 +42,19 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import held, query, releasing, settle, slices, table
 from .components import connected_components
-from .prefix_join import candidates
+from .prefix_join import candidates, mixed_members, shared_prefixes
 
 SHINGLE = 5
 BANDS = 12
 _U64 = np.uint64
 CACHED_WORDS = 200_000
+#: Nodes of a component that a node of another one meets in the first round.
+FIRST_MET = 4
 
 
 def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
@@ -213,25 +215,25 @@ def _apart(frame: DataFrame) -> DataFrame:
     return frame.join(mixed.select("bucket"), "bucket", "left_semi")
 
 
-def _linked(pairs: DataFrame, roots: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """``roots`` after all ``pairs`` (a, b, p, q, bound) were verified whose components did not meet otherwise.
+def _linked(rows: DataFrame, roots: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """``roots`` after all pairs of different components that meet in ``rows`` (``shared_prefixes``) were verified.
 
-    A round verifies each node's most promising pairs with every other component, sixteen times as many as
-    the round before, and drops the pairs of components that it joined.
+    A round lets a node meet the first nodes of every other component, 64 times as many as the round before;
+    what it joins meets no more.  The last round lets all nodes of the components that are left meet.
     """
-    place = Window.partitionBy("a", "q").orderBy(F.desc("bound"), "b")
-    pairs = settle(pairs.withColumn("place", F.row_number().over(place)), "near-pairs")
-    done, many = 0, 16
+    upto = FIRST_MET
     while True:
-        links = settle(_verified(pairs.where((F.col("place") > done) & (F.col("place") <= many)).select("a", "b"), texts, percent), "near-links")
+        shared = mixed_members(_with_roots(rows, roots, "node").withColumnRenamed("node_root", "root"))
+        most = shared.agg(F.max("place")).first()[0]
+        if most is None:
+            return roots
+        pairs = settle(candidates(shared, percent, upto), "near-pairs")
+        links = settle(_verified(pairs, texts, percent), "near-links")
         if not links.isEmpty():
             roots = _joined(roots, links, "near-roots")
-        done, many = many, 16 * many
-        waiting = pairs.where(F.col("place") > done).select("p", "q").distinct()
-        waiting = settle(_with_roots(waiting, roots, "p", "q").where("p_root <> q_root").select("p", "q"), "near-waiting")
-        if waiting.isEmpty():
+        if most <= upto:
             return roots
-        pairs = settle(pairs.where(F.col("place") > done).join(waiting.hint("merge"), ["p", "q"], "left_semi"), "near-pairs")
+        upto *= 64
 
 
 def near_duplicates(
@@ -254,7 +256,7 @@ def near_duplicates(
 
     open_nodes = _apart(_with_roots(filled.select("bucket", "node"), roots, "node")).select("node", F.col("node_root").alias("root")).distinct()
     open_texts = texts.join(settle(open_nodes, "near-open").hint("merge"), "node")
-    roots = _linked(candidates(open_texts, shingle_set, percent), roots, texts, percent)
+    roots = _linked(shared_prefixes(open_texts, shingle_set, percent), roots, texts, percent)
     named = settle(_with_roots(nodes.select("node", "least"), roots, "node").select("node", "least", F.col("node_root").alias("top")), "near-named")
     names = named.groupBy("top").agg(F.min("least").alias("component_id"), F.count("*").alias("m"))
     grouped = named.join(names, "top").select("node", "component_id")

@@ -12,7 +12,8 @@ passage that thousands of texts share stands last and brings nobody together.
 3. Each set is ordered by (count, hash); the entries of its prefix that other sets hold too become
    rows (``prefixes``).  A set most of whose members nobody else holds has no row.
 4. Rows meet by member if the positions still admit the similarity and the components differ.  The
-   component that holds most rows of a member never meets itself (``candidates``).
+   component that holds most rows of a member never meets itself, and meets others by its first
+   nodes before it meets them by all (``candidates``).
 
 Every step is exact up to hashes that coincide, which only add candidates: what a set loses by
 coinciding hashes is taken off what it must share.
@@ -25,7 +26,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import releasing, settle, slices
@@ -171,25 +172,32 @@ def prefixes(sets: DataFrame, counts: DataFrame, buckets: int, percent: int) ->
     return both.mapInArrow(run, "member bigint, node binary, root binary, size int, rest int")
 
 
-def candidates(texts: DataFrame, sets_of: Callable, percent: int) -> DataFrame:
-    """All pairs of (node, root, text) of different roots whose sets can be ``percent`` similar.
-
-    ``a``, ``b``, their roots ``p``, ``q``, and ``bound``: the most members that they can share, as a share of all.
-    """
+def shared_prefixes(texts: DataFrame, sets_of: Callable, percent: int) -> DataFrame:
+    """The stored ``prefixes`` of (node, root, text), without their roots, which change."""
     sets = batched_sets(texts, sets_of)
     total = sets.agg(F.sum(F.aggregate("held", F.lit(0).cast("bigint"), lambda t, x: t + x))).first()[0] or 0
     buckets = 1 + total // BUCKET_MEMBERS
-    rows = settle(prefixes(sets, rarities(sets, buckets), buckets, percent), "prefixes")
+    return settle(prefixes(sets, rarities(sets, buckets), buckets, percent).drop("root"), "prefixes")
+
+
+def mixed_members(rows: DataFrame) -> DataFrame:
+    """``rows`` (member, node, root, size, rest) of members that several components hold, with ``top`` (the component
+    with most rows) and ``place``: within member and component, the node that can share most members first."""
     shares = rows.groupBy("member", "root").agg(F.count("*").alias("n"))
     mixed = shares.groupBy("member").agg(F.max_by("root", F.struct("n", "root")).alias("top"), F.count("*").alias("roots"))
     mixed = settle(mixed.where("roots > 1").select("member", "top"), "members")
-    shared = settle(rows.join(mixed.hint("merge"), "member"), "shared")
-    left = shared.where("root <> top").select("member", F.col("node").alias("a"), F.col("root").alias("a_root"), F.col("size").alias("a_size"), F.col("rest").alias("a_rest"))
-    admitted = (100 + percent) * F.least("rest", "a_rest") >= percent * (F.col("size") + F.col("a_size"))
-    met = shared.join(left.hint("merge"), "member").where(
-        (F.col("root") != F.col("a_root")) & ((F.col("root") == F.col("top")) | (F.col("a") < F.col("node"))) & admitted
+    order = Window.partitionBy("member", "root").orderBy(F.desc("rest"), "node")
+    return settle(rows.join(mixed.hint("merge"), "member").withColumn("place", F.row_number().over(order)), "shared")
+
+
+def candidates(shared: DataFrame, percent: int, upto: int) -> DataFrame:
+    """(``a``, ``b``): pairs of ``mixed_members`` of different components whose sets can be ``percent`` similar.
+
+    Every node outside a member's top component meets the first ``upto`` nodes of each other component.
+    """
+    left = shared.where("root <> top").select(
+        "member", F.col("node").alias("a"), F.col("root").alias("a_root"), F.col("size").alias("a_size"), F.col("rest").alias("a_rest")
     )
-    shares = F.least("rest", "a_rest")
-    bound = (shares / (F.col("size") + F.col("a_size") - shares)).alias("bound")
-    pairs = met.select("a", F.col("node").alias("b"), F.col("a_root").alias("p"), F.col("root").alias("q"), bound)
-    return pairs.groupBy("a", "b", "p", "q").agg(F.max("bound").alias("bound"))
+    admitted = (100 + percent) * F.least("rest", "a_rest") >= percent * (F.col("size") + F.col("a_size"))
+    met = shared.where(F.col("place") <= upto).join(left.hint("merge"), "member").where((F.col("root") != F.col("a_root")) & admitted)
+    return met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
