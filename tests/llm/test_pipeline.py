@@ -46,4 +46,4 @@ def test_entry_point():
 
     names = __spark_entry__.queries()
     numbers = sorted(int(m[1]) for n in names if (m := re.match(r"op(\d+)_", n)))
-    assert numbers == list(range(1, 11)) and names["pipeline"] is corpus_pipeline.run
+    assert numbers == list(range(1, 14)) and names["pipeline"] is corpus_pipeline.run
