@@ -55,3 +55,25 @@ def test_numbered_and_digamma(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "a double, y string")
     assert [r["mi"] for r in knn_mutual_info(df, ["a"], "y").collect()] == [0.0]
+
+
+def test_bins_are_counted_before_the_shuffle(spark):
+    """A batch gives a row per column, bin and class, not one per row and column."""
+    import numpy as np
+
+    from prepspark.operators import select as S
+
+    df = spark.range(5000).selectExpr("double(id % 97) AS a", "double(id % 89) AS b", "if(id % 11 = 0, null, string(id % 3)) AS y").coalesce(1)
+    edges = [[0.0, 10.0, 50.0, 96.0], [0.0, 30.0, 88.0]]
+    got = S._bin_counts(df, [F.col("a"), F.col("b")], edges, F.coalesce("y", F.lit("nan"))).collect()
+    assert len(got) < 100
+    want = {}
+    for i in range(5000):
+        y = "nan" if i % 11 == 0 else str(i % 3)
+        for c, v in enumerate((i % 97, i % 89)):
+            key = (c, int(np.searchsorted(edges[c][1:-1], v, "right")), y)
+            want[key] = want.get(key, 0) + 1
+    total = {}
+    for r in got:
+        total[r["c"], r["xb"], r["yk"]] = total.get((r["c"], r["xb"], r["yk"]), 0) + r["n"]
+    assert total == want

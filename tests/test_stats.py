@@ -57,3 +57,22 @@ def test_exact_quantiles_with_brackets(spark, monkeypatch):
         for c in ("x", "y"):
             assert got[c] == pytest.approx(np.quantile(rows[c], probs).tolist(), abs=1e-9)
         assert got["none"] == [None] * len(probs)
+
+
+def test_spans_are_counted_before_the_shuffle(spark, monkeypatch):
+    """Quantiles of a large table: a batch gives its counts, and nulls and ties keep the definition."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from prepspark.functions import stats as ST
+
+    monkeypatch.setattr(ST, "WHOLE_COLUMN", 100)
+    df = spark.range(6000).selectExpr("if(id % 5 = 0, null, double(id * id % 4001)) AS a", "double(id % 3) AS b", "cast(null AS double) AS c")
+    exprs = {c: F.col(c) for c in "abc"}
+    counts = ST._span_counts(df.coalesce(1), exprs, [("a", 100.0, 110.0), ("b", 1.0, 1.0)]).collect()
+    assert len(counts) < 100 and sum(r["cnt"] for r in counts if r["i"] == 1 and r["v"] is None) == 2000
+    got = ST.exact_quantiles(df, exprs, [0.0, 0.3, 0.5, 1.0])
+    rows = df.toPandas()
+    for c in "ab":
+        assert got[c] == pytest.approx(list(np.quantile(rows[c].dropna(), [0.0, 0.3, 0.5, 1.0])))
+    assert got["c"] == [None] * 4
