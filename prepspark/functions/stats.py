@@ -31,9 +31,9 @@ AGG_CHUNK = 48
 
 
 # Rank error of the sketch that brackets a quantile, and the counted rows up to which one aggregation
-# buffer (a million values of 16 bytes) may hold a column instead.
+# buffer may hold a column instead: the last merge of such buffers is one task.
 SKETCH_ACCURACY = 10_000
-WHOLE_COLUMN = 1_000_000
+WHOLE_COLUMN = 200_000
 
 
 def _brackets(df: DataFrame, exprs: dict, probs: dict, margin: float) -> dict:

@@ -76,3 +76,12 @@ def test_spans_are_counted_before_the_shuffle(spark, monkeypatch):
     for c in "ab":
         assert got[c] == pytest.approx(list(np.quantile(rows[c].dropna(), [0.0, 0.3, 0.5, 1.0])))
     assert got["c"] == [None] * 4
+
+
+def test_no_task_merges_a_column_of_half_a_million(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from prepspark.functions import stats as ST
+
+    monkeypatch.setattr(F, "percentile", lambda *a: pytest.fail("one buffer for the column"))
+    assert ST.exact_quantiles(spark.range(500_001), {"id": F.col("id").cast("double")}, [0.25, 0.5]) == {"id": [125_000.0, 250_000.0]}
