@@ -62,11 +62,11 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
-def stored(df, name: str, *partition_by: str):
+def stored(df, name: str, *partition_by: str, compression: str | None = None):
     """``df`` written as a table in the checkpoint folder and read back; folders by ``partition_by`` can be pruned."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,5 +1,7 @@
 import hashlib
+import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,3 +35,31 @@ def test_empty_and_single(spark):
     df = spark.range(1)
     assert M.merkle_root(M.merkle_tree(df)).first()["rows"] == 1
     assert tuple(M.merkle_root(M.merkle_tree(df.where("false"))).first()) == (0, hashlib.sha256(b"").hexdigest())
+
+
+def test_hot_rows_and_many_partitions(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.lit(-1)).otherwise(F.col("id")).alias("a")).repartition(5)
+    hashes = [r[0] for r in df.select(M.row_hash(df)).collect()]
+    tree = M.merkle_tree(df, fan=16)
+    assert tuple(M.merkle_root(tree).first()) == (3000, plain_root(hashes, 16))
+    levels = {r["level"]: (r["n"], r["last"]) for r in tree.groupBy("level").agg(F.count("*").alias("n"), F.max("place").alias("last")).collect()}
+    assert levels == {0: (3000, 2999), 1: (188, 187), 2: (12, 11), 3: (1, 0)}
+    leaves = [r["hash"] for r in tree.where("level = 0").orderBy("place").collect()]
+    assert leaves == sorted(hashes)
+
+
+def test_leaves_take_little_disk(spark):
+    def held():
+        tops = [spark.conf.get("spark.checkpoint.dir").removeprefix("file://")]
+        tops += [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+        files = [os.path.join(d, f) for top in tops for d, _, names in os.walk(top) for f in names]
+        return {f: os.path.getsize(f) for f in files if not f.endswith(".crc") and (".parquet" in f or "/shuffle_" in f)}
+
+    before = held()
+    assert M.merkle_root(M.merkle_tree(spark.range(100_000))).first()["rows"] == 100_000
+    assert sum(size for f, size in held().items() if f not in before) < 50 * 100_000  # 32 bytes and a place; 134 before
+
+
+def test_runs_end_at_gaps_and_nodes():
+    assert [*M._runs(np.array([1, 2, 3, 4, 5, 9, 10, 3, 4]), 4)] == [(0, 3), (3, 5), (5, 7), (7, 8), (8, 9)]
+    assert [*M._runs(np.array([7]), 4)] == [(0, 1)]
